@@ -12,22 +12,26 @@ from statmart.plans import combined as cb
 from statmart.plans import fantasy as fa
 from statmart.plans import measures as m
 from statmart.plans import processed as pr
+from statmart.plans import reconcile as rc
+from statmart.plans import rosters as ro
 from statmart.plans import serving as sv
 from statmart.session import materialise
+from statmart.sources.readers import select_season_log
 from statmart.sources.schemas import ENDPOINTS, TRADITIONAL
 
 from . import models_sql as q
-from .inputs import r, raw_table, tidy
+from .inputs import F4, derive, duck, layers, r, raw_ctes, raw_table, tidy
 
 
 class Domain:
     """The mart chain over one data folder. Lazy, except that what three or more
-    consumers share is written once (``base``, and the one-row-per-player inputs of
-    the z-scores)."""
+    consumers share is written once: the player-games and team-games behind the raw
+    tables, ``base``, and the one-row-per-player inputs of the z-scores."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
         self._kept: dict[str, DataFrame] = {}
+        self._layers: dict[str, DataFrame] = {}
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._kept:
@@ -35,7 +39,11 @@ class Domain:
         return self._kept[name]
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf, name)
+        if not self._layers:
+            self._layers = layers(self.spark, self.sf)
+        if name not in self._kept:
+            self._kept[name] = raw_table(self._layers, name)
+        return self._kept[name]
 
     def season(self) -> DataFrame:
         return cb.current_season(self.raw("log_table"))
@@ -54,7 +62,8 @@ class Domain:
         return cb.players_combined(self.raw("log_table"), {e: self.raw(f"players_{e}") for e in ENDPOINTS})
 
     def teams_processed(self) -> DataFrame:
-        return pr.teams_processed(self.teams_combined())
+        # Stored first: the opponent self join would otherwise run the star join twice.
+        return pr.teams_processed(self._keep("teams_combined", self.teams_combined))
 
     def players_processed(self) -> DataFrame:
         return pr.players_processed(self.players_combined(), self.teams_processed())
@@ -97,6 +106,12 @@ class Domain:
     def overall(self) -> DataFrame:
         return fa.z_overall_current(self.z_cumulative(), self.z_averages(), self.z_last10())
 
+    def player_map(self) -> DataFrame:
+        """Everyone in the first events snapshot against the known players."""
+        roster = derive(self.spark, self.sf, F4).withColumnsRenamed({"player_id": "playerId"})
+        players = self._keep("players_combined", self.players_combined)
+        return ro.player_map(roster, players).drop("created_at")
+
     def player_z(self) -> DataFrame:
         return trades.player_z_with_last10(self.z_averages(), self.averages_current(), self.z_last10())
 
@@ -151,6 +166,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_season_ranks": _q(lambda d: sv.season_ranks(d.season_final(), 22025)),
     "mart_week_leaders": _q(lambda d: sv.category_leaders(d.weekly())),
     "mart_week_directory": _q(lambda d: sv.week_directory(d.weekly())),
+    "mart_latest_week": _q(lambda d: sv.latest_week(d.weekly())),
+    "mart_week_rows": _q(lambda d: sv.week_rows(d.weekly(), 22025, 2)),
+    "mart_week_top25": _q(lambda d: sv.top_players(sv.week_rows(d.weekly(), 22025, 2))),
+    "mart_week_breakouts": _q(lambda d: sv.weekly_breakouts(sv.breakouts_from(d.weekly(), d.season_final()), 22025, 2)),
+    "mart_season_log": _q(lambda d: select_season_log(d.raw("log_table"), 2024)),
+    "mart_missing_games": _q(
+        lambda d: rc.missing_games(d.raw("log_table"), d.raw("teams_misc"), d.raw("players_misc"))
+    ),
+    "mart_stored_games": _q(lambda d: rc.stored_games(d.raw("players_misc"), d.raw("log_table"), "22025")),
+    "mart_player_map": _q(lambda d: d.player_map()),
 }
 
 
@@ -262,4 +287,37 @@ ORACLES: dict[str, str] = {
         "SELECT DISTINCT seasonId, weekNumber, weekStartDate, weekEndDate, seasonWeekId, 'SZN ' || seasonId || ' | Week ' || weekNumber "
         "|| ' | ' || weekStartDate || ' → ' || weekEndDate AS label FROM weekly_stats",
     ),
+    "mart_latest_week": q.model_sql(
+        "weekly_stats",
+        "SELECT DISTINCT seasonId, weekNumber, weekStartDate, weekEndDate FROM weekly_stats "
+        "ORDER BY seasonId DESC, weekNumber DESC LIMIT 1",
+    ),
+    "mart_week_top25": q.model_sql(
+        "weekly_stats",
+        "SELECT firstName, familyName, personId, gamesPlayedWeek, "
+        + ", ".join(r(c) for c in "pointsSum assistsSum reboundsSum stealsSum blocksSum threesSum totalZWeek".split())
+        + ", CAST(doubleDoubleSum AS BIGINT) AS doubleDoubleSum FROM weekly_stats w WHERE seasonId = 22025 AND weekNumber = 2 "
+        "ORDER BY w.totalZWeek DESC NULLS LAST, personId LIMIT 25",
+    ),
+    "mart_week_breakouts": q.model_sql(
+        "season_final",
+        f"SELECT w.seasonId, w.weekNumber, w.weekStartDate, w.personId, w.firstName, w.familyName, "
+        f"{r('w.minutesAvg - f.avg_minutes', 'minutes_delta_week')}, {r('w.pointsAvg - f.avg_points', 'points_delta_week')} "
+        "FROM weekly_stats w JOIN season_final f ON w.seasonId = f.seasonId AND w.personId = f.personId "
+        "WHERE w.seasonId = 22025 AND w.weekNumber = 2",
+    ),
+    "mart_season_log": f"WITH {raw_ctes()} SELECT * FROM log_table WHERE (season_id = '22024' AND left(game_id, 3) = '002') "
+    "OR (season_id = '42024' AND left(game_id, 3) = '004') OR (season_id = '62024' AND left(game_id, 3) = '006')",
+    "mart_missing_games": f"WITH {raw_ctes()} SELECT game_id AS gameid FROM log_table EXCEPT "
+    "(SELECT gameid FROM teams_misc INTERSECT SELECT gameid FROM players_misc)",
+    "mart_stored_games": f"WITH {raw_ctes()} SELECT DISTINCT gameid FROM players_misc "
+    "WHERE gameid IN (SELECT game_id FROM log_table WHERE season_id = '22025')",
+    "mart_player_map": q.model_sql(
+        "players_combined",
+        f"""SELECT DISTINCT CAST(f.player_id AS VARCHAR) AS espn_player_id, p.personid AS personid, 'exact_norm' AS match_type,
+        1.0::DOUBLE AS match_score, f.name AS espn_name, p.nba_name AS nba_name, false AS needs_review FROM ({duck(F4)}) f,
+        (SELECT CAST(personId AS VARCHAR) AS personid, firstName || ' ' || familyName AS nba_name FROM players_combined
+         WHERE personId IS NOT NULL AND firstName IS NOT NULL ORDER BY 1 LIMIT 1) p""",
+    ),
 }
+ORACLES["mart_week_rows"] = ORACLES["mart_weekly_stats"] + " WHERE seasonId = 22025 AND weekNumber = 2"

@@ -10,9 +10,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statmart.session import materialise
 from statmart.sources.schemas import ENDPOINTS, raw_columns
 
 TABLES = (
@@ -39,8 +39,12 @@ def duck(sql: str) -> str:
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double, so that last-bit differences between engines do not show."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+    return df.selectExpr(
+        *[
+            f"round(`{f.name}`, {digits}) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
+    )
 
 
 def r(expr: str, out: str | None = None, digits: int = 6) -> str:
@@ -114,34 +118,35 @@ FROM {part}
 
 # -- the raw domain tables, all text -------------------------------------------------
 
-_BOX = """
-box AS (
-  SELECT user_id AS pid, user_id % 10 AS tno, CAST(ts AS DATE) AS d, CAST(day(ts) AS BIGINT) AS dd,
-    CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS v,
-    CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS c,
-    CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS p,
-    CAST(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS e,
-    CAST(COUNT(*) AS BIGINT) AS n
-  FROM {events} GROUP BY user_id, user_id % 10, CAST(ts AS DATE), day(ts)
-), paired AS (
-  SELECT *, CASE WHEN dd % 2 = 0 THEN (tno - tno % 2) ELSE ((tno + 1) % 10 - (tno + 1) % 10 % 2) END AS pair,
-    CASE WHEN dd IN (14, 29) THEN '4' WHEN dd = 5 THEN '6' ELSE '2' END AS kind
-  FROM box
-), pg AS (
+# Player-games (pg), team-games (tg) and half-team-games (hg): the layers the raw tables read.
+LAYERS = {
+    "pg": """
   SELECT *, '00' || kind || lpad(CAST(dd * 10 + pair AS STRING), 7, '0') AS gid,
     kind || CASE WHEN dd <= 15 THEN '2024' ELSE '2025' END AS sid
-  FROM paired WHERE (dd + pair) % 5 <> 0
-), tg AS (
+  FROM (
+    SELECT *, CASE WHEN dd % 2 = 0 THEN (tno - tno % 2) ELSE ((tno + 1) % 10 - (tno + 1) % 10 % 2) END AS pair,
+      CASE WHEN dd IN (14, 29) THEN '4' WHEN dd = 5 THEN '6' ELSE '2' END AS kind
+    FROM (
+      SELECT user_id AS pid, user_id % 10 AS tno, CAST(ts AS DATE) AS d, CAST(day(ts) AS BIGINT) AS dd,
+        CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS v,
+        CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS c,
+        CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS p,
+        CAST(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS e,
+        CAST(COUNT(*) AS BIGINT) AS n
+      FROM {events} GROUP BY user_id, user_id % 10, CAST(ts AS DATE), day(ts)
+    ) AS box
+  ) AS paired WHERE (dd + pair) % 5 <> 0""",
+    "tg": """
   SELECT gid, sid, tno, d, dd, CAST(SUM(v) AS BIGINT) AS v, CAST(SUM(c) AS BIGINT) AS c,
     CAST(SUM(p) AS BIGINT) AS p, CAST(SUM(e) AS BIGINT) AS e, CAST(SUM(n) AS BIGINT) AS n,
     tno * 37 AS pid
-  FROM pg GROUP BY gid, sid, tno, d, dd
-), hg AS (
+  FROM {pg} GROUP BY gid, sid, tno, d, dd""",
+    "hg": """
   SELECT gid, tno, d, dd, CASE WHEN (pid - pid % 10) % 20 = 0 THEN 'Starters' ELSE 'Bench' END AS half,
     CAST(SUM(v) AS BIGINT) AS v, CAST(SUM(c) AS BIGINT) AS c, CAST(SUM(p) AS BIGINT) AS p,
     CAST(SUM(e) AS BIGINT) AS e, CAST(SUM(n) AS BIGINT) AS n, tno * 37 AS pid
-  FROM pg GROUP BY gid, tno, d, dd, CASE WHEN (pid - pid % 10) % 20 = 0 THEN 'Starters' ELSE 'Bench' END
-)"""
+  FROM {pg} GROUP BY gid, tno, d, dd, CASE WHEN (pid - pid % 10) % 20 = 0 THEN 'Starters' ELSE 'Bench' END""",
+}
 
 _TEAM_IDS = {
     "gameid": "gid",
@@ -198,7 +203,7 @@ def _endpoint_sql(endpoint: str, is_team: bool) -> str:
         ("misc", False): "WHERE pid % 5 <> 2",
         ("misc", True): "WHERE tno <> 3",
     }.get((endpoint, is_team), "")
-    return f"SELECT {', '.join(cols)} FROM {source} {where}"
+    return f"SELECT {', '.join(cols)} FROM {{{source}}} {where}"
 
 
 _LOG = {
@@ -227,16 +232,16 @@ _LOG_SQL = (
         for c, x in {"fg_pct": "v", "fg3_pct": "c", "ft_pct": "p"}.items()
     )
     + f", CAST({_SCORE.format(x='a')} - {_SCORE.format(x='b')} AS STRING) AS plus_minus "
-    "FROM tg a LEFT JOIN tg b ON a.gid = b.gid AND a.tno <> b.tno"
+    "FROM {tg} a LEFT JOIN {tg} b ON a.gid = b.gid AND a.tno <> b.tno"
 )
 
 _LINES_SQL = (
     "SELECT DISTINCT CAST(20240100 + dd AS BIGINT) AS date, 'TEAM-' || CAST(tno AS STRING) AS team, 'any' AS site, "
-    "'x' AS `o:team`, CAST((tno * 7 + dd) % 21 - 10 AS DOUBLE) + 0.5 AS line, CAST(60 + dd * 3 AS DOUBLE) AS total FROM tg"
+    "'x' AS `o:team`, CAST((tno * 7 + dd) % 21 - 10 AS DOUBLE) + 0.5 AS line, CAST(60 + dd * 3 AS DOUBLE) AS total FROM {tg}"
 )
 _MAPPING_SQL = (
     "SELECT DISTINCT 'TEAM-' || CAST(tno AS STRING) AS raw_data_team_name, "
-    "'Team ' || CAST(tno AS STRING) AS log_table_team_name FROM tg WHERE tno <> 7"
+    "'Team ' || CAST(tno AS STRING) AS log_table_team_name FROM {tg} WHERE tno <> 7"
 )
 
 RAW = {
@@ -248,11 +253,26 @@ RAW = {
 }
 
 
-def raw_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return derive(spark, sf, f"WITH {_BOX} {RAW[name]}")
+def layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The layers, with the two that several raw tables read written once.
+
+    The events are scanned and shuffled a single time; every raw table is then a
+    projection of a stored layer.
+    """
+    pg = materialise(derive(spark, sf, LAYERS["pg"]), "player-games")
+    tg = materialise(spark.sql(LAYERS["tg"], pg=pg), "team-games")
+    return {"pg": pg, "tg": tg, "hg": spark.sql(LAYERS["hg"], pg=pg)}
+
+
+def raw_table(stored: dict[str, DataFrame], name: str) -> DataFrame:
+    sql = RAW[name]
+    used = {k: df for k, df in stored.items() if f"{{{k}}}" in sql}
+    return next(iter(used.values())).sparkSession.sql(sql, **used)
 
 
 def raw_ctes() -> str:
     """All raw tables as CTEs for the oracle, without the leading WITH."""
-    tables = ", ".join(f"{n} AS ({sql})" for n, sql in RAW.items())
-    return duck(f"{_BOX}, {tables}").replace("`o:team`", '"o:team"')
+    sql = ", ".join(f"{n} AS ({text})" for n, text in {**LAYERS, **RAW}.items())
+    for name in LAYERS:
+        sql = sql.replace(f"{{{name}}}", name)
+    return duck(sql).replace("`o:team`", '"o:team"')

@@ -24,7 +24,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def prefixed(df: DataFrame, prefix: str, keep: list[str] = ()) -> DataFrame:
     """Prefix every column but ``keep``, so that wide sources can be joined by name."""
-    return df.select([F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in df.columns])
+    return df.toDF(*[c if c in keep else f"{prefix}{c}" for c in df.columns])
 
 
 def combine_star(

@@ -11,13 +11,14 @@ that would have been accepted.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from statmart.functions.casts import col_of
 from statmart.functions.text import normalize_name, normalize_name_basic
 from statmart.session import materialise
 
@@ -26,20 +27,29 @@ from .series import latest_per
 EPS = 1e-9
 
 
-@F.pandas_udf("double")
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+def _ratio_udf():
+    # A local function travels to the workers whole, so they need no copy of this package.
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+
+        matcher, last, out = SequenceMatcher(), None, []
+        for x, y in zip(a, b):
+            if x is None or y is None:
+                out.append(None)
+                continue
+            if y != last:
+                matcher.set_seq2(y)
+                last = y
+            matcher.set_seq1(x)
+            out.append(matcher.ratio())
+        return pd.Series(out, dtype="float64")
+
+    return F.pandas_udf(ratio, T.DoubleType())
+
+
+def similarity(a: str | Column, b: str | Column) -> Column:
     """Ratcliff-Obershelp ratio; not symmetric, ``a`` is the query and ``b`` the candidate."""
-    matcher, last, out = SequenceMatcher(), None, []
-    for x, y in zip(a, b):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        if y != last:
-            matcher.set_seq2(y)
-            last = y
-        matcher.set_seq1(x)
-        out.append(matcher.ratio())
-    return pd.Series(out, dtype="float64")
+    return _ratio_udf()(col_of(a), col_of(b))
 
 
 def edit_score(a: str, b: str) -> Column:

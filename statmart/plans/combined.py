@@ -21,8 +21,12 @@ def _raw(ref: str) -> str:
     return PREFIX[letter] + col
 
 
-def _typed(sources: list[str]) -> Column:
-    return first_of(*[try_double(_raw(s)) for s in sources])
+def _typed(measures: dict[str, list[str]]) -> list[str]:
+    """Each measure as a double from the first source with a readable value, as SQL text."""
+    return [
+        f"coalesce({', '.join(f'try_cast({_raw(x)} AS DOUBLE)' for x in sources)}) AS {out}"
+        for out, sources in measures.items()
+    ]
 
 
 def _first_raw(letters: str, col: str, *before: str) -> Column:
@@ -97,7 +101,7 @@ def teams_combined(log: DataFrame, sources: dict[str, DataFrame], lines: DataFra
         try_double("b_line").alias("line"),
         try_double("b_ou").alias("overUnder"),
         try_double(_first_raw(order, "minutes", "min")).alias("minutes"),
-        *[_typed(src).alias(c) for c, src in TEAM_MEASURES.items()],
+        *map(F.expr, _typed(TEAM_MEASURES)),
     ).filter(F.col("gameDate").isNotNull())
 
 
@@ -134,6 +138,6 @@ def players_combined(log: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
         F.col("wl").alias("winLoss"),
         try_long(_first_raw(order, "personid")).alias("personId"),
         *[_first_raw(order, raw).alias(out) for out, raw in names.items()],
-        *[_typed(src).alias(c) for c, src in PLAYER_MEASURES.items()],
+        *map(F.expr, _typed(PLAYER_MEASURES)),
     )
     return typed.filter(F.col("gameDate").isNotNull()).distinct()
