@@ -37,7 +37,7 @@ def duck(sql: str) -> str:
     return sql
 
 
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
+def tidy(df: DataFrame, digits: int = 7) -> DataFrame:
     """Round every double, so that last-bit differences between engines do not show."""
     return df.selectExpr(
         *[
@@ -47,7 +47,7 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def r(expr: str, out: str | None = None, digits: int = 6) -> str:
+def r(expr: str, out: str | None = None, digits: int = 7) -> str:
     """Oracle side of :func:`tidy`; adding 0.0 turns a negative zero into zero."""
     return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0) AS {out or expr.split('.')[-1]}"
 
