@@ -173,12 +173,11 @@ _CLOCK = (
 
 
 def _measure(i: int) -> str:
-    """Text of measure ``i``: now and then NULL or no number, else quarters."""
-    a, b, k, m = 3 + i % 5, 2 + i % 7, 1 + i % 4, 53 + i % 11
-    value = f"CAST((v * {a} + c * {b} + p * 3 + e + pid * {1 + i % 3} + dd * {k}) % {m} AS DOUBLE) / 4"
+    """Text of measure ``i``: now and then NULL or no number, else a whole number up to 28."""
+    a, b, k, m = 3 + i % 5, 2 + i % 7, 1 + i % 4, 19 + i % 11
     return (
-        f"CASE WHEN (pid + dd + {i}) % 43 = 0 THEN NULL WHEN (pid * 3 + dd + {i}) % 47 = 0 THEN 'n/a' "
-        f"ELSE CAST({value} AS STRING) END"
+        f"CASE WHEN (pid + dd + {i}) % 43 = 0 THEN NULL WHEN (pid * 3 + dd + {i}) % 211 = 0 THEN 'n/a' "
+        f"ELSE CAST((v * {a} + c * {b} + p * 3 + e + pid * {1 + i % 3} + dd * {k}) % {m} AS STRING) END"
     )
 
 

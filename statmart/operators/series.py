@@ -338,10 +338,17 @@ def last_active_flag(
     )
 
 
-def is_last(df: DataFrame, out: str, c: str, keys: list[str]) -> DataFrame:
-    """1 on every row that carries the greatest value of ``c`` in its group."""
-    top = F.max(c).over(W.partitionBy(*keys))
-    return df.withColumn(out, F.when(F.col(c) == top, 1).otherwise(0))
+def is_last(df: DataFrame, out: str, c: str, keys: list[str], whole: bool = True) -> DataFrame:
+    """1 on every row that carries the greatest value of ``c`` in its group.
+
+    ``whole`` as in :func:`last_active_flag`.
+    """
+    if whole:
+        top = F.max(c).over(W.partitionBy(*keys))
+        return df.withColumn(out, F.when(F.col(c) == top, 1).otherwise(0))
+    tops = df.groupBy(*keys).agg(F.max(c).alias("__top"))
+    flagged = join_null_safe(df, tops, keys).withColumn(out, F.when(F.col(c) == F.col("__top"), 1).otherwise(0))
+    return flagged.select(*df.columns, out)
 
 
 def latest_per(

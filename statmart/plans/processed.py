@@ -65,7 +65,7 @@ def teams_processed(teams: DataFrame, block: Column | None = None) -> DataFrame:
     df = s.count_in_trailing_days(
         df, {"__d4": 3, "__d6": 5}, season, "gameDate", pre_aggregate=block is not None
     )
-    df = s.is_last(df, "isLastTeamGame", "gameDate", season)
+    df = s.is_last(df, "isLastTeamGame", "gameDate", season, whole=block is None)
     kind = [*season, "seasonType"]
     df = s.running_count(df, {"winsSoFar": won, "lossesSoFar": lost}, kind, order, block)
     df = s.rolling_rate(df, "last10WinPercentage", won, 10, kind, order, block=block)
