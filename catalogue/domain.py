@@ -172,7 +172,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_week_breakouts": _q(lambda d: sv.weekly_breakouts(sv.breakouts_from(d.weekly(), d.season_final()), 22025, 2)),
     "mart_season_log": _q(lambda d: select_season_log(d.raw("log_table"), 2024)),
     "mart_missing_games": _q(
-        lambda d: rc.missing_games(d.raw("log_table"), d.raw("teams_misc"), d.raw("players_misc"))
+        lambda d: rc.missing_games(
+            d.raw("log_table"), d.raw("teams_misc").filter("teamtricode < 'T5'"), d.raw("players_misc")
+        )
     ),
     "mart_stored_games": _q(lambda d: rc.stored_games(d.raw("players_misc"), d.raw("log_table"), "22025")),
     "mart_player_map": _q(lambda d: d.player_map()),
@@ -309,7 +311,7 @@ ORACLES: dict[str, str] = {
     "mart_season_log": f"WITH {raw_ctes()} SELECT * FROM log_table WHERE (season_id = '22024' AND left(game_id, 3) = '002') "
     "OR (season_id = '42024' AND left(game_id, 3) = '004') OR (season_id = '62024' AND left(game_id, 3) = '006')",
     "mart_missing_games": f"WITH {raw_ctes()} SELECT game_id AS gameid FROM log_table EXCEPT "
-    "(SELECT gameid FROM teams_misc INTERSECT SELECT gameid FROM players_misc)",
+    "(SELECT gameid FROM teams_misc WHERE teamtricode < 'T5' INTERSECT SELECT gameid FROM players_misc)",
     "mart_stored_games": f"WITH {raw_ctes()} SELECT DISTINCT gameid FROM players_misc "
     "WHERE gameid IN (SELECT game_id FROM log_table WHERE season_id = '22025')",
     "mart_player_map": q.model_sql(
