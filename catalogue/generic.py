@@ -68,9 +68,10 @@ def current_means(df: DataFrame) -> DataFrame:
 
 @register(
     "season_z_ranking",
-    f"""{WITH1}, {_CURRENT}, {_ZED} SELECT season_id, person_id, first_name, family_name, {r('total', 'total_z')},
+    f"""{WITH1}, {_CURRENT}, {_ZED} SELECT season_id, person_id, first_name, family_name, {r('total', 'total_z', 8)},
     RANK() OVER (PARTITION BY season_id ORDER BY total DESC) AS player_rank
     FROM (SELECT *, ROUND({_TOTAL}, 8) AS total FROM z) WHERE total IS NOT NULL""",
+    digits=8,
 )
 def season_z_ranking(spark, sf):
     z = stats.zscores(current_means(f1(spark, sf)), {f"z_{c}": f"m_{c}" for c in MEASURES}, ["season_id"])
