@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, chat, licences, shards
 from .shared import table
 
 QUERIES: dict = {}
@@ -27,3 +27,60 @@ def op2_bpe(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", F.col("n_tokens").cast("long"), "ids_sha256", "decoded_sha256")
+
+
+@query(licences.oracle())
+def op1_licences(spark, sf):
+    out = licences.scanned(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licences"),
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+    )
+
+
+@query()
+def op6_shards(spark, sf):
+    out = shards.sharded(table(spark, sf, "documents").select("doc_id", "text"), 24)
+    law, none = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", law, "shard", F.col("slot").cast("long"), none)
+
+
+_PROBE = r"\### Assistant: </turn> ok"
+_TURNS = f"""WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_PROBE}'), (-7, 1, 'assistant', '{_PROBE}')),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c)"""
+
+
+@query(
+    rf"""{_TURNS} SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('### : ') + length(role) + length(text) + length(' </turn>') + 1
+      + length(text) - length(replace(text, '\', ''))
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7
+      + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{{3,}}'), lambda x: length(x) - 2)), 0)) AS BIGINT) AS formatted_chars,
+    regexp_full_match(string_agg(substr(role, 1, 1), '' ORDER BY turn, role, text), 's?(ua)*u?')
+      AND string_agg(role, '' ORDER BY turn, role, text) <> 'system' AS valid
+    FROM t GROUP BY conv_id"""
+)
+def op9_chat(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.sql(
+        "SELECT -7L AS conv_id, t.turn, t.role, :text AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)",
+        args={"text": _PROBE},
+    )
+    out = chat.read_back(chat.formatted(rows.unionByName(probe)))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = chat.learned_text(F.col("segments"))
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
