@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licences, shards
+from . import bpe, chat, licences, shards, toxicity
 from .shared import table
 
 QUERIES: dict = {}
@@ -84,3 +84,15 @@ def op9_chat(spark, sf):
         F.length("formatted").cast("long").alias("formatted_chars"),
         "valid",
     )
+
+
+def _held(fold: int, folds: int):
+    return (F.crc32(F.col("doc_id").cast("string")) % folds == fold).alias("held_out")
+
+
+@query()
+def op4_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.learned(docs, table(spark, sf, "labels"))
+    out = toxicity.scored(docs, model)
+    return out.select("doc_id", _held(1, 3), "score", "predicted", F.size("spans").alias("n_spans"))
