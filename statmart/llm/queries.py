@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licences, shards, toxicity
+from . import bpe, chat, licences, quality, shards, toxicity
 from .shared import table
 
 QUERIES: dict = {}
@@ -96,3 +96,10 @@ def op4_toxicity(spark, sf):
     model = toxicity.learned(docs, table(spark, sf, "labels"))
     out = toxicity.scored(docs, model)
     return out.select("doc_id", _held(1, 3), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+@query()
+def op3_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.learned(docs, table(spark, sf, "labels"))
+    return quality.scored(docs, model).select("doc_id", _held(2, 4), "score", "predicted")
