@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licences, quality, shards, toxicity
+from . import bpe, chat, decontaminate, licences, nearest, quality, shards, toxicity
 from .shared import table
 
 QUERIES: dict = {}
@@ -103,3 +103,26 @@ def op3_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     model = quality.learned(docs, table(spark, sf, "labels"))
     return quality.scored(docs, model).select("doc_id", _held(2, 4), "score", "predicted")
+
+
+@query(
+    """WITH b AS (SELECT vec_id, list_transform(embedding, lambda x: x >= 0) AS bits FROM embeddings),
+    d AS (SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum(list_transform(list_zip(q.bits, r.bits),
+        lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+      FROM b q JOIN b r ON q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance
+    FROM d QUALIFY rank <= 10"""
+)
+def op8_nearest(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    rows = vectors.select(F.col("vec_id").alias("id"), nearest.sign_code(F.col("embedding")).alias("code"))
+    out = nearest.nearest(rows, rows.filter(F.col("id") % 100 == 0), 10)
+    return out.withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op5_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = decontaminate.marked(docs, table(spark, sf, "benchmark"))
+    words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "contaminated", "items", words.cast("long").alias("n_words"))
