@@ -72,7 +72,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id: str = "id", code: s
     for r in range(BITS + 1):
         if open_.isEmpty():
             break
-        flips = F.filter(F.sequence(F.lit(0), F.lit((1 << BITS) - 1)), lambda m, r=r: F.bit_count(m) == r)
+        flips = F.expr(f"filter(sequence(0, {(1 << BITS) - 1}), m -> bit_count(m) = {r})")
         parts = F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("q"), i).alias("own")) for i in range(SEGMENTS)])
         probes = (
             open_.select("q", "bound", F.inline(parts))
