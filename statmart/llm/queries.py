@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licences, nearest, quality, shards, toxicity
+from . import bpe, chat, decontaminate, licences, nearest, quality, shards, suffix_dedup, toxicity
 from .shared import table
 
 QUERIES: dict = {}
@@ -126,3 +126,26 @@ def op5_decontaminate(spark, sf):
     out = decontaminate.marked(docs, table(spark, sf, "benchmark"))
     words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     return out.select("doc_id", "contaminated", "items", words.cast("long").alias("n_words"))
+
+
+@query(
+    """WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+    w AS (SELECT doc_id, CAST(s.i AS BIGINT) AS s, substr(x, CAST(2 * s.i + 1 AS BIGINT), 200) AS k FROM h, unnest(range(greatest(n - 99, 0))) s(i)),
+    a AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM w),
+    m AS (SELECT *, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+      FROM a WHERE r > 1),
+    g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM m),
+    r AS (SELECT doc_id, span, min(s) AS a, max(s) + 100 AS z FROM g GROUP BY doc_id, span),
+    k AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+    p AS (SELECT h.doc_id, string_agg(substr(x, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS pieces,
+        max(z) AS done, count(*) AS n_spans, sum(z - a) AS n_removed FROM h JOIN k ON h.doc_id = k.doc_id GROUP BY h.doc_id)
+    SELECT h.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+      CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+      sha256(unhex(coalesce(pieces || substr(x, CAST(2 * done + 1 AS BIGINT)), x))) AS kept_sha256
+    FROM h LEFT JOIN p ON h.doc_id = p.doc_id"""
+)
+def op10_suffix_dedup(spark, sf):
+    out = suffix_dedup.repeats_removed(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
