@@ -1,8 +1,8 @@
 """Exact nearest neighbours of binary codes by multi-index hashing.
 
-A 64-bit code is cut into four segments of 16 bits, each indexed by its value. Round ``r`` probes
-every segment for the values at distance ``r`` from the query's: after it, every code within
-``4 (r + 1) - 1`` bits has been met, as one of its segments must be within ``r``. A query ends as
+A 64-bit code is cut into ``m`` segments, each indexed by its value. Round ``r`` probes every
+segment for the values at distance ``r`` from the query's: after it, every code within
+``m (r + 1) - 1`` bits has been met, as one of its segments must be within ``r``. A query ends as
 soon as its last wanted neighbour is no farther than that, so the answer is exact. Rows with the
 same code are one entry of the index, so a very common code costs no more than a rare one.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import window as W
 
 from .shared import discard, stored
 
-SEGMENTS, BITS = 4, 16
+CODE = 64
 
 
 def sign_code(vector: Column) -> Column:
@@ -26,20 +26,27 @@ def sign_code(vector: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
-def _segment(code: Column, i: int) -> Column:
-    return F.shiftrightunsigned(code, BITS * i).bitwiseAND((1 << BITS) - 1).cast("int")
+def _segment(code: Column, i: int, segments: int) -> Column:
+    bits = CODE // segments
+    return F.shiftrightunsigned(code, bits * i).bitwiseAND((1 << bits) - 1).cast("int")
 
 
 def _bits(x: Column) -> Column:
     return F.bit_count(x).cast("int")
 
 
-def _first_least(differing: Column) -> tuple[Column, Column]:
+def _values(code: str, segments: int) -> Column:
+    """The segments of a code, as (segment, value)."""
+    made = [F.struct(F.lit(i).alias("segment"), _segment(F.col(code), i, segments).alias("value")) for i in range(segments)]
+    return F.inline(F.array(*made))
+
+
+def _first_least(differing: Column, segments: int) -> tuple[Column, Column]:
     """The least distance among the segments, and the first segment that has it."""
-    far = [_bits(_segment(differing, i)) for i in range(SEGMENTS)]
+    far = [_bits(_segment(differing, i, segments)) for i in range(segments)]
     least = F.least(*far)
-    first = F.lit(SEGMENTS - 1)
-    for i in reversed(range(SEGMENTS - 1)):
+    first = F.lit(segments - 1)
+    for i in reversed(range(segments - 1)):
         first = F.when(far[i] == least, i).otherwise(first)
     return least, first
 
@@ -49,12 +56,16 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k).drop("n")
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int, id: str = "id", code: str = "code") -> DataFrame:  # noqa: A002
+def nearest(
+    rows: DataFrame, queries: DataFrame, k: int, id: str = "id", code: str = "code", segments: int = 4  # noqa: A002
+) -> DataFrame:
     """The ``k`` nearest rows of each query by Hamming distance, ties by id, the query's own id left out.
 
     Returns ``query_id``, ``rank`` (from 1), ``id`` and ``distance``. Rows or queries without id or
     code take no part; repeated rows count once; fewer than ``k`` other rows give a shorter list,
-    an empty table none. Other columns are not looked at.
+    an empty table none. Other columns are not looked at. ``segments`` (2, 4 or 8) sets the cost,
+    not the answer: long segments for many rows with near neighbours, short ones where the
+    neighbours are far and a round of long segments would probe more values than there are rows.
     """
     need = k + 1  # the query itself may be among its nearest
     pairs = rows.select(F.col(id).alias("id"), F.col(code).alias("code")).dropna().distinct()
@@ -64,26 +75,25 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id: str = "id", code: s
     index = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     held = index.agg(F.sum(F.size("ids"))).first()[0] or 0
     asked = queries.select(F.col(id).alias("query_id"), F.col(code).alias("q")).dropna().distinct()
-    segments = F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("code"), i).alias("value")) for i in range(SEGMENTS)])
-    entries = index.select("code", "ids", F.inline(segments))
+    entries, bits = index.select("code", "ids", _values("code", segments)), CODE // segments
     # Per query code: the farthest distance that can still matter.
     open_ = stored(asked.select("q").distinct().withColumn("bound", F.lit(64)), "open")
     best = stored(open_.select("q", F.lit(0).alias("distance"), F.lit(0).cast("long").alias("id")).limit(0), "best")
-    for r in range(BITS + 1):
+    for r in range(bits + 1):
         if open_.isEmpty():
             break
-        flips = F.expr(f"filter(sequence(0, {(1 << BITS) - 1}), m -> bit_count(m) = {r})")
-        parts = F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("q"), i).alias("own")) for i in range(SEGMENTS)])
+        flips = F.expr(f"filter(sequence(0, {(1 << bits) - 1}), m -> bit_count(m) = {r})")
         probes = (
-            open_.select("q", "bound", F.inline(parts))
+            open_.select("q", "bound", _values("q", segments))
             .withColumn("flip", F.explode(flips))
-            .select("q", "bound", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
+            .select("q", "bound", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
         )
         differing = F.col("q").bitwiseXOR(F.col("code"))
-        least, where = _first_least(differing)
+        least, where = _first_least(differing, segments)
         # Each pair is met once: in the round of its nearest segment, through the first such segment.
         met = (
-            probes.alias("p")
+            # Never broadcast: a few queries become many probes.
+            probes.hint("merge").alias("p")
             .join(
                 entries.alias("e"),
                 (F.col("p.segment") == F.col("e.segment")) & (F.col("p.value") == F.col("e.value"))
@@ -92,7 +102,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id: str = "id", code: s
             .select("q", _bits(differing).alias("distance"), F.explode("ids").alias("id"))
         )
         new = stored(_best(best.unionByName(met), need), "best")
-        covered = SEGMENTS * (r + 1) - 1
+        covered = segments * (r + 1) - 1
         reached = new.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("last"))
         state = open_.select("q").join(reached, "q", "left")
         full = F.coalesce(F.col("n") >= min(need, held), F.lit(False))

@@ -116,7 +116,7 @@ def op3_quality(spark, sf):
 def op8_nearest(spark, sf):
     vectors = table(spark, sf, "embeddings")
     rows = vectors.select(F.col("vec_id").alias("id"), nearest.sign_code(F.col("embedding")).alias("code"))
-    out = nearest.nearest(rows, rows.filter(F.col("id") % 100 == 0), 10)
+    out = nearest.nearest(rows, rows.filter(F.col("id") % 100 == 0), 10, segments=8)
     return out.withColumnRenamed("id", "vec_id")
 
 
