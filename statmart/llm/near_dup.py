@@ -207,10 +207,10 @@ def near_duplicates(
     Two rows are linked if their sets of ``words``-word shingles (A-Z in lower case; all words as
     one shingle where there are fewer) have ``share`` percent of their union in common.
     ``component_id`` is the least id that links lead to, ``kept`` says that it is the row's own.
-    Rows without words have empty sets and are linked with nothing, so each is its own component;
-    of rows with equal texts the least id stays, and all rows with that id. A row with a null id
-    takes part in nothing and is kept, with a null component. Every row and column stays; columns
-    that bear an output's name are replaced; an empty table gives an empty one.
+    Rows without words have empty sets and are linked with nothing, so each is its own component.
+    Rows that share an id are one document: it has their links, and its largest set is counted. A
+    row with a null id takes part in nothing and is kept, with a null component. Every row and
+    column stays; columns that bear an output's name are replaced; an empty table gives an empty one.
     """
     base = df.drop(*[c for c in df.columns if c.lower() in {"n_shingles", "component_id", "kept"} and c != text])
     source = base.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -260,20 +260,13 @@ def near_duplicates(
         known = reps.join(found.labels, "k", "left").select("k", "least", F.coalesce("label", "k").alias("label"))
         low = known.groupBy("label").agg(F.min("least").alias("component_id"))
         least = known.join(low, "label").select("k", "component_id")
-    # A row finds its set by its id and a checksum of its text, which tells rows that share an id apart.
-    return _with_components(base, rows, least, id, text, words, at)
-
-
-def _with_components(base, rows, least, id, text, words, at):  # noqa: A002
-    part = rows.select("id", "n", "k").distinct()
-    part = part.join(least, "k", "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
-    if set(base.columns) == {id}:
-        pass
-    per_id = part.groupBy("id").agg(F.max("n").alias("n_shingles"), F.min("component_id").alias("component_id"))
-    per_id = per_id.withColumnRenamed("id", at)
-    out = base.join(per_id, F.col(id).cast("long").eqNullSafe(F.col(at)), "left").drop(at)
-    own = F.coalesce(F.col("component_id") == F.col(id), F.lit(True))
-    return out.withColumn("kept", own)
+    # Rows that share an id are one document.
+    own = rows.select("id", "n", "k").join(least, "k", "left")
+    own = own.groupBy(F.col("id").alias(at)).agg(
+        F.max("n").alias("n_shingles"), F.coalesce(F.min("component_id"), F.first("id")).alias("component_id")
+    )
+    out = base.join(own, F.col(id).cast("long").eqNullSafe(F.col(at)), "left").drop(at)
+    return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col(id), F.lit(True)))
 
 
 def hubs(found: _Links, members: DataFrame) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licences, nearest, quality, shards, suffix_dedup, toxicity
+from . import bpe, chat, decontaminate, licences, near_dup, nearest, quality, shards, suffix_dedup, toxicity
 from .shared import table
 
 QUERIES: dict = {}
@@ -149,3 +149,21 @@ def op10_suffix_dedup(spark, sf):
     return out.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS g
+      FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) u(i) WHERE len(ws) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+    r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id)
+    SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.root) AS component_id, min(r.root) = d.doc_id AS kept
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+)
+def op7_near_dup(spark, sf):
+    out = near_dup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
