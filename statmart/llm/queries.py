@@ -145,7 +145,7 @@ def op5_decontaminate(spark, sf):
     FROM h LEFT JOIN p ON h.doc_id = p.doc_id"""
 )
 def op10_suffix_dedup(spark, sf):
-    out = suffix_dedup.repeats_removed(table(spark, sf, "documents").select("doc_id", "text"))
+    out = suffix_dedup.repeats_removed(table(spark, sf, "documents").select("doc_id", "text"), keep_text=False)
     return out.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )

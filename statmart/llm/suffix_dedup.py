@@ -11,8 +11,9 @@ first, by the hashes of their anchor and of all their bytes.
 2. Stretches are dealt by anchor. Each task keeps a family of sorted levels: a new batch becomes a
    level, levels of equal size are merged, and every merge scans equal neighbours, of which the
    later is repeated. Whatever shares an anchor but not all bytes may still share some strings.
-3. For those the bytes are fetched, and all their 100-byte suffixes go through the same family,
-   now with the bytes themselves as the key: a suffix array in lexicographic order.
+3. For those the bytes are fetched, and all their suffixes go through the same family, each cut to
+   100 bytes and ordered by its first eight bytes, then by a hash of all: what follows is only
+   asked for equality, and suffixes that are equal so far lie next to each other.
 
 An anchor with very many different stretches is not dealt as a whole: its strings are dealt one
 by one, by their own hash.
@@ -34,8 +35,8 @@ from .shared import free_name, stored
 PIECE = 36
 #: Bytes hashed at once, buckets that stretches are dealt to, stretches of an anchor that stay together.
 CHUNK, BUCKETS, TOGETHER = 1 << 21, 2_048, 256
-#: Entries of a new level.
-LEVEL = 1 << 16
+#: Entries of a new level, and bytes of text whose stretches are reduced together.
+LEVEL, BATCH = 1 << 18, 12 << 20
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -98,6 +99,16 @@ def _column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8), offsets
 
 
+def _by_bytes(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about as many bytes of text each."""
+    _, offsets = _column_bytes(b.column(2))
+    at = 0
+    while at < b.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH, side="right")) - 1)
+        yield b.slice(at, to - at)
+        at = to
+
+
 def _sections(offsets: np.ndarray, span: int) -> Iterator[list[tuple[int, int, int]]]:
     """Chunks of sections (row, start in the row, bytes); long texts become overlapping sections."""
     chunk, size = [], 0
@@ -119,6 +130,8 @@ def _sections(offsets: np.ndarray, span: int) -> Iterator[list[tuple[int, int, i
 class Family:
     """Sorted levels of (key, order, payload) with distinct keys; the earliest holder of a key stays.
 
+    A key is two words, and so is an order: the document, and the place in it behind its checksum.
+
     ``add`` sorts a batch into a level and merges levels of like size; ``finish`` merges the rest.
     Each merge scans equal neighbours and reports the payload rows of the later ones.
     """
@@ -128,7 +141,14 @@ class Family:
         self.later: list[np.ndarray] = []
 
     def _scan(self, key: np.ndarray, order: np.ndarray, payload: np.ndarray):
-        by = np.lexsort((*order.T[::-1], *key.T[::-1]))
+        by = np.argsort(key[:, 0])
+        lead = key[by, 0]
+        tied = np.append(lead[1:] == lead[:-1], False)
+        tied[1:] |= tied[:-1]
+        if tied.any():
+            # Only where the leading words agree do the others and the order matter.
+            some = by[tied]
+            by[tied] = some[np.lexsort((order[some, 1], order[some, 0], key[some, 1], key[some, 0]))]
         key, order, payload = key[by], order[by], payload[by]
         if len(key) > 1:
             same = (key[1:] == key[:-1]).all(1)
@@ -163,6 +183,10 @@ _FOUND = "kind int, route long, doc long, th int, start int, end int"
 REMOVED, JOINT, SINGLE = 0, 1, 2
 
 
+def _order(doc: np.ndarray, th: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return np.stack([doc, (th.astype(np.int64) << 32) + start.astype(np.int64)], 1)
+
+
 def _planes(a: np.ndarray) -> bytes:
     """Entries by byte planes, which compress well where high bytes are zero."""
     return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
@@ -180,11 +204,11 @@ def _batch(kinds: str, *columns) -> pa.RecordBatch:
 
 
 def _read(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (part for b in batches for part in _by_bytes(b)):
         data, offsets = _column_bytes(b.column(2))
         docs = b.column(0).to_numpy(zero_copy_only=False)
         ths = b.column(1).to_numpy(zero_copy_only=False)
-        parts, rows, starts = [], [], []
+        parts = []
         for chunk in _sections(offsets, span):
             own = np.concatenate([data[offsets[r] + x : offsets[r] + x + n] for r, x, n in chunk])
             ends = np.cumsum([n for _, _, n in chunk])
@@ -203,7 +227,11 @@ def _read(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBat
         e = np.concatenate(parts)
         # Equal stretches of the batch: only the first leaves it.
         print_ = e["anchor"] ^ _mix(e["content"])
-        by = np.lexsort((e["start"], e["th"], e["doc"], print_))
+        by = np.argsort(print_)
+        same = np.append(False, print_[by][1:] == print_[by][:-1])
+        tied = same | np.append(same[1:], False)
+        some = by[tied]
+        by[tied] = some[np.lexsort((e["start"][some], e["th"][some], e["doc"][some], print_[some]))]
         e, print_ = e[by], print_[by]
         same = np.append(False, print_[1:] == print_[:-1])
         first = np.flatnonzero(~same)[np.cumsum(~same) - 1]
@@ -247,11 +275,7 @@ def _index(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBa
 
     def insert() -> None:
         e = np.concatenate(waiting)
-        family.add(
-            np.stack([e["anchor"], e["content"]], 1),
-            np.stack([e["doc"], e["th"].astype(np.int64), e["start"].astype(np.int64)], 1),
-            e,
-        )
+        family.add(np.stack([e["anchor"], e["content"]], 1), _order(e["doc"], e["th"], e["start"]), e)
 
     for b in batches:
         passing = b.filter(b.column(5).is_null())
@@ -296,8 +320,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBa
     """Bytes of the wanted stretches; those of a crowded anchor string by string."""
     for b in batches:
         out: list[tuple] = []
-        for doc, th, text, wants in zip(*(b.column(i).to_pylist() for i in range(4))):
-            raw = text.encode()
+        for doc, th, raw, wants in zip(*(b.column(i).to_pylist() for i in range(4))):
             for w in wants:
                 if w["kind"] == JOINT:
                     out.append((w["route"], doc, th, w["start"], raw[w["start"] : w["end"]]))
@@ -313,32 +336,35 @@ def _fetch(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBa
 
 
 def _compare(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    """All strings of the fetched bytes through the family, in the order of their bytes."""
-    family, words = Family(), -(-span // 8)
-    waiting, size = [], 0
+    """All strings of the fetched bytes through the family: by their first eight bytes, then by a hash of all."""
+    family, waiting, size = Family(), [], 0
 
     def insert() -> None:
-        raw = np.frombuffer(b"".join([w[3] for w in waiting]) + bytes(words * 8), np.uint8)
+        raw = np.frombuffer(b"".join([w[3] for w in waiting]), np.uint8)
         lens = np.array([len(w[3]) for w in waiting])
-        own = np.repeat(np.arange(len(lens)), lens - span + 1)
-        inner = np.arange(len(own)) - np.repeat(np.cumsum(lens - span + 1) - (lens - span + 1), lens - span + 1)
+        strings = lens - span + 1
+        own = np.repeat(np.arange(len(lens)), strings)
+        inner = np.arange(len(own)) - np.repeat(np.cumsum(strings) - strings, strings)
         at = (np.cumsum(lens) - lens)[own] + inner
-        view = np.lib.stride_tricks.sliding_window_view(raw, words * 8)[at].copy()
-        view[:, span:] = 0
-        payload = np.empty(len(own), [("doc", "<i8"), ("th", "<i8"), ("start", "<i8")])
-        payload["doc"] = np.array([w[0] for w in waiting])[own]
-        payload["th"] = np.array([w[1] for w in waiting])[own]
-        payload["start"] = np.array([w[2] for w in waiting])[own] + inner
-        order = payload.view("<i8").reshape(-1, 3)
-        family.add(view.view(">u8").astype(U), order, payload)
+        up, down = _powers(CHUNK * 2 + span)
+        sums = np.zeros(len(raw) + 1, U)
+        np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
+        key = np.empty((len(own), 2), U)
+        key[:, 0] = np.lib.stride_tricks.sliding_window_view(raw, 8)[at].copy().view(">u8").ravel()
+        key[:, 1] = _mix((sums[at + span] - sums[at]) * down[at])
+        payload = np.empty(len(own), [("doc", "<i8"), ("th", "<i4"), ("start", "<i4")])
+        for name, i in (("doc", 0), ("th", 1), ("start", 2)):
+            payload[name] = np.array([w[i] for w in waiting])[own]
+        payload["start"] += inner.astype(np.int32)
+        family.add(key, _order(payload["doc"], payload["th"], payload["start"]), payload)
 
     for b in batches:
         for row in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
-            waiting.append(row)
-            size += len(row[3]) - span + 1
-            if size >= LEVEL:
+            if waiting and size + len(row[3]) > CHUNK:
                 insert()
                 waiting, size = [], 0
+            waiting.append(row)
+            size += len(row[3])
     if waiting:
         insert()
     _, later = family.finish()
@@ -349,8 +375,8 @@ def _compare(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Record
 def _cut(batches: Iterator[pa.RecordBatch], n: int, names: list[str], whole_characters: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols: list[list] = [[], [], [], []]
-        for text, ranges in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist()):
-            raw = (text or "").encode()
+        for raw, ranges in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist()):
+            raw = raw or b""
             spans: list[tuple[int, int]] = []
             for a, z in sorted((r["start"], r["end"]) for r in ranges or ()):
                 if spans and a <= spans[-1][1]:
@@ -387,7 +413,12 @@ def _last(raw: bytes, i: int) -> int:
 
 
 def repeats_removed(
-    df: DataFrame, id: str = "doc_id", text: str = "text", span: int = 100, whole_characters: bool = False  # noqa: A002
+    df: DataFrame,
+    id: str = "doc_id",  # noqa: A002
+    text: str = "text",
+    span: int = 100,
+    whole_characters: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Add ``n_bytes``, ``n_removed``, ``spans`` (removed byte ranges) and ``kept`` (the other bytes).
 
@@ -396,7 +427,8 @@ def repeats_removed(
     input and never cross rows. A null text has no bytes; a null id sorts last. Rows that share an
     id are ordered by a checksum of their text; a repeated row counts as the same document and
     gets the same result. With ``whole_characters`` a character stays unless all its bytes go.
-    Every row and column is kept; columns that bear an output's name are replaced.
+    Every row and column is kept (without ``keep_text`` all but the text); columns that bear an
+    output's name are replaced.
     """
     if span < PIECE + 4:
         raise ValueError(f"strings of {PIECE + 4} bytes at least")
@@ -416,15 +448,15 @@ def repeats_removed(
     want = F.struct("kind", "route", "start", "end")
     wants = found.filter(F.col("kind") != REMOVED).groupBy("doc", "th").agg(F.collect_list(want).alias("wants"))
     same: Column = (F.col(k_doc) == F.col("doc")) & (F.col(k_th) == F.col("th"))
-    slices = keyed.join(wants, same).select("doc", "th", F.col(text).alias("text"), "wants").mapInArrow(
+    slices = keyed.join(wants, same).select("doc", "th", F.col(text).cast("binary").alias("bytes"), "wants").mapInArrow(
         lambda it: _fetch(it, span), _SLICES
     )
     more = slices.repartition("route").mapInArrow(lambda it: _compare(it, span), _FOUND)
     ranges = found.filter(F.col("kind") == REMOVED).unionByName(more)
     per_row = ranges.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    names = base.columns
-    joined = keyed.join(per_row, same, "left").select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("llm_t"), "ranges")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+    names = [c for c in base.columns if keep_text or c != text]
+    joined = keyed.join(per_row, same, "left").select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("binary").alias("llm_t"), "ranges")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name in names)
     kinds = "n_bytes long, n_removed long, spans array<struct<start: int, end: int>>, kept binary"
     n = len(names)
     return joined.mapInArrow(lambda it: _cut(it, n, [*names, *outputs], whole_characters), f"{fields}, {kinds}")
