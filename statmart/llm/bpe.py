@@ -246,7 +246,7 @@ def encoded(
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` for each whole text.
 
     ``vocabulary`` is the path of a vocabulary file that every executor can open. With ``ids`` a
-    column of that name holds the token ids as an array. Every input column and row is kept; a
+    column of that name holds the token ids as little-endian unsigned 32-bit integers. Every input column and row is kept; a
     column of ``df`` that bears an output's name is replaced. A null or empty text has no tokens.
     Texts with an unsplit run of ``run`` characters are encoded in pieces by several tasks.
     """
