@@ -1,26 +1,61 @@
-"""The corpus pipeline: each stage applies one operator of ``statmart.llm`` to what its predecessor kept."""
+"""The corpus pipeline: each stage applies one operator of ``statmart.llm`` to what its predecessor kept.
+
+Every stage but the last takes and returns the columns of ``documents``; the last returns the
+tokens. Between two stages the rows are written to the cluster's shared folder and read again.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from statmart.llm import bpe, decontaminate, near_dup, suffix_dedup, toxicity
+from statmart.llm.shared import stored, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the tagger does not call toxic."""
+    model = toxicity.learned(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).filter("predicted = 0").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the least id."""
+    return near_dup.near_duplicates(docs).filter("kept").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has; a text that was nothing else goes."""
+    out = suffix_dedup.repeats_removed(docs, whole_characters=True, keep_text=False)
+    out = out.withColumn("text", F.col("kept").cast("string"))
+    out = out.filter("n_bytes = 0 OR octet_length(kept) > 0").withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
+
 
-from statmart.llm import bpe
-from statmart.llm.shared import stored
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document's whole text."""
+    """Token ids (little-endian unsigned 32-bit integers) of every document's whole text."""
     return bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"), ids="ids").drop("text")
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-dedup", one_of_each),
+    ("suffix-dedup", without_repeats),
+    ("decontamination", without_benchmark),
+    ("bpe", encode),
+]
 #: No SQL: the stages train a model and encode with a vocabulary.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
