@@ -9,6 +9,10 @@ same code are one entry of the index, so a very common code costs no more than a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -16,6 +20,8 @@ from pyspark.sql import window as W
 from .shared import discard, stored
 
 CODE = 64
+#: Codes of a bucket that are compared in one go.
+BUCKET = 512
 
 
 def sign_code(vector: Column) -> Column:
@@ -31,24 +37,38 @@ def _segment(code: Column, i: int, segments: int) -> Column:
     return F.shiftrightunsigned(code, bits * i).bitwiseAND((1 << bits) - 1).cast("int")
 
 
-def _bits(x: Column) -> Column:
-    return F.bit_count(x).cast("int")
-
-
 def _values(code: str, segments: int) -> Column:
     """The segments of a code, as (segment, value)."""
     made = [F.struct(F.lit(i).alias("segment"), _segment(F.col(code), i, segments).alias("value")) for i in range(segments)]
     return F.inline(F.array(*made))
 
 
-def _first_least(differing: Column, segments: int) -> tuple[Column, Column]:
-    """The least distance among the segments, and the first segment that has it."""
-    far = [_bits(_segment(differing, i, segments)) for i in range(segments)]
-    least = F.least(*far)
-    first = F.lit(segments - 1)
-    for i in reversed(range(segments - 1)):
-        first = F.when(far[i] == least, i).otherwise(first)
-    return least, first
+def _verify(r: int, segments: int, need: int):
+    """Compare probes with the codes of their bucket; each pair is kept in one round and segment only."""
+    unit = {2: "<u4", 4: "<u2", 8: "u1"}[segments]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(3)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            q, bound, segment = (np.repeat(b.column(i).to_numpy(zero_copy_only=False), sizes) for i in range(3))
+            code = lists.flatten().to_numpy(zero_copy_only=False)
+            least_id = b.column(4).flatten().to_numpy(zero_copy_only=False)
+            differing = q ^ code
+            distance = np.bitwise_count(differing.view(np.uint64)).astype(np.int32)
+            some = np.flatnonzero(distance <= bound)
+            far = np.bitwise_count(differing[some].view(unit).reshape(-1, segments))
+            some = some[(far.min(1) == r) & (far.argmin(1) == segment[some])]
+            # No query takes more than its best few from a batch.
+            by = some[np.lexsort((least_id[some], distance[some], q[some]))]
+            new = np.flatnonzero(np.append(True, q[by][1:] != q[by][:-1])) if len(by) else by
+            place = np.arange(len(by)) - np.repeat(new, np.diff(np.append(new, len(by))))
+            by = by[place < need]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q[by]), pa.array(code[by]), pa.array(distance[by])], names=["q", "code", "distance"]
+            )
+
+    return run
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -75,7 +95,14 @@ def nearest(
     index = stored(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     held = index.agg(F.sum(F.size("ids"))).first()[0] or 0
     asked = queries.select(F.col(id).alias("query_id"), F.col(code).alias("q")).dropna().distinct()
-    entries, bits = index.select("code", "ids", _values("code", segments)), CODE // segments
+    bits = CODE // segments
+    entries = index.select("code", F.col("ids")[0].alias("first"), _values("code", segments))
+    # A value that very many codes have is several buckets.
+    chunks = 1 + index.count() // (BUCKET << bits)
+    chunk = F.pmod(F.xxhash64("code"), F.lit(chunks))
+    pair = F.collect_list(F.struct("code", "first")).alias("pairs")
+    buckets = entries.groupBy("segment", "value", chunk.alias("chunk")).agg(pair)
+    buckets = stored(buckets.select("segment", "value", F.col("pairs.code").alias("codes"), F.col("pairs.first").alias("firsts")), "buckets")
     # Per query code: the farthest distance that can still matter.
     open_ = stored(asked.select("q").distinct().withColumn("bound", F.lit(64)), "open")
     best = stored(open_.select("q", F.lit(0).alias("distance"), F.lit(0).cast("long").alias("id")).limit(0), "best")
@@ -88,18 +115,12 @@ def nearest(
             .withColumn("flip", F.explode(flips))
             .select("q", "bound", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
         )
-        differing = F.col("q").bitwiseXOR(F.col("code"))
-        least, where = _first_least(differing, segments)
-        # Each pair is met once: in the round of its nearest segment, through the first such segment.
+        # Never broadcast: a few queries become many probes.
         met = (
-            # Never broadcast: a few queries become many probes.
-            probes.hint("merge").alias("p")
-            .join(
-                entries.alias("e"),
-                (F.col("p.segment") == F.col("e.segment")) & (F.col("p.value") == F.col("e.value"))
-                & (least == r) & (where == F.col("p.segment")) & (_bits(differing) <= F.col("bound")),
-            )
-            .select("q", _bits(differing).alias("distance"), F.explode("ids").alias("id"))
+            probes.hint("merge").join(buckets, ["segment", "value"])
+            .select("q", "bound", "segment", "codes", "firsts")
+            .mapInArrow(_verify(r, segments, need), "q long, code long, distance int")
+            .join(index, "code").select("q", "distance", F.explode("ids").alias("id"))
         )
         new = stored(_best(best.unionByName(met), need), "best")
         covered = segments * (r + 1) - 1
