@@ -1,10 +1,10 @@
 """Near-duplicate detection by a chosen-path set similarity join over MinHash values.
 
 A document is a set of word shingles; documents with equal sets are one set. From the root of
-each tree a set goes to the child named by one of its minwise shingles, so similar sets stay
-together with a probability that is their similarity. Small nodes are compared exhaustively;
-large ones branch again, each set along two more minwise shingles. Several trees with different
-shingles at the root make it very unlikely that a pair never meets.
+each tree a set goes to the child named by two of its minwise shingles, so similar sets stay
+together with a probability that is their similarity squared. Small nodes are compared
+exhaustively; large ones branch again, each set along two more pairs of minwise shingles. With
+twelve trees, a pair at the threshold fails to meet at the roots' children once in four million.
 
 Links are wanted only for the components they make up. So a node first compares its members with
 a hub, and members that are already connected are compared no more; a node whose members are all
@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -27,9 +28,12 @@ from pyspark.sql import window as W
 from .shared import discard, free_name, stored
 
 #: Trees, members of a node that are compared exhaustively, levels, and minwise values per set.
-TREES, LEAF, DEPTH, VALUES = 10, 32, 8, 96
-#: Values that paths may choose from, and words that a worker remembers.
-PATHS, CACHE_WORDS = TREES + 2 * DEPTH, 500_000
+TREES, LEAF, DEPTH, VALUES = 12, 32, 4, 96
+#: Shingles of a step and branches of a node; values that paths choose from.
+STEP, BRANCHES = 2, 2
+PATHS = STEP * (TREES + BRANCHES * DEPTH)
+#: Words that a worker remembers, and bits of the filter that tells whose text is fetched (1 MB).
+CACHE_WORDS, FILTER_BITS = 500_000, 1 << 23
 U = np.uint64
 _RNG = np.random.default_rng(23)
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=U) | U(1)
@@ -98,13 +102,40 @@ def _summaries(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordB
             )
 
 
+def _key(s: np.ndarray) -> np.ndarray:
+    return _mix(_mix(s * _PERMS[0]).sum(dtype=U) + np.array([len(s)], U))
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     words = Words()
     for b in batches:
         if len(words) > CACHE_WORDS:
             words.clear()
-        rows = [shingles(t, words, n).tobytes() for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["k", "shingles"])
+        rows = [shingles(t, words, n) for t in b.column(1).to_pylist()]
+        keys = np.concatenate([_key(r) for r in rows]).view(np.int64) if rows else []
+        made = [pa.array(keys, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())]
+        yield pa.RecordBatch.from_arrays(made, names=["k", "shingles"])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        at = _mix(b.column(0).to_numpy(zero_copy_only=False).view(U)) % U(FILTER_BITS)
+        word, bit = (at >> U(6)).astype(np.int32), (U(1) << (at & U(63))).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], names=["w", "b"])
+
+
+def _only(source: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``source`` whose id is one of ``ids``, and a few others: a filter of fixed size, no exchange."""
+    rows = ids.mapInArrow(_places, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    bits = np.zeros(FILTER_BITS // 64, U)
+    bits[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).view(U)
+    shared = source.sparkSession.sparkContext.broadcast(bits)
+
+    def wanted(id: pd.Series) -> pd.Series:  # noqa: A002
+        at = _mix(id.to_numpy(np.int64).view(U)) % U(FILTER_BITS)
+        return pd.Series((shared.value[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == U(1))
+
+    return source.filter("id IS NOT NULL").filter(F.pandas_udf(wanted, "boolean")("id"))
 
 
 def _screen(least: int):
@@ -187,10 +218,23 @@ class _Links:
         discard(sets)
         if found.isEmpty():
             return
-        self.links = found if self.links is None else self.links.unionAll(found)
-        old, self.labels = self.labels, components(self.links)
-        if old is not None:
-            discard(old)
+        if self.labels is None:
+            self.links, self.labels = found, components(found)
+            return
+        # Only what the new links connect is worked out: labels of labels.
+        self.links = self.links.unionAll(found)
+        ends = [found.select(F.col(c).alias("k"), "a", "b") for c in "ab"]
+        x = self.labelled(ends[0]).select("a", "b", F.col("label").alias("x"))
+        y = self.labelled(x.withColumn("k", F.col("b"))).select("x", F.col("label").alias("y"))
+        joined = components(y.filter("x <> y").distinct(), "x", "y")
+        known = self.labels.unionAll(found.select(F.col("a").alias("k"), F.col("a")).unionAll(found.select("b", "b")))
+        # A set's earlier label, if it has one, is never above its own key.
+        known = known.groupBy("k").agg(F.min("label").alias("label"))
+        far = joined.select(F.col("k").alias("label"), F.col("label").alias("far"))
+        new = stored(known.join(far, "label", "left").select("k", F.coalesce("far", "label").alias("label")), "labels")
+        discard(self.labels)
+        discard(joined)
+        self.labels = new
 
 
 def _nodes_with_choice(members: DataFrame) -> DataFrame:
@@ -222,37 +266,30 @@ def near_duplicates(
     )
 
     def sets(wanted: DataFrame) -> DataFrame:
-        """Full sets of the wanted keys, from the text of one row of each."""
-        one = reps.join(wanted, "k").select("k", "least")
-        of = rows.select("id", "k").join(one, "k").filter("id = least").select("id", "k").distinct()
-        keyed = source.join(of, "id").select("k", "text")
-        found = keyed.mapInArrow(lambda it: _sets(it, words), "k long, shingles binary")
-        # Rows that share an id may hold another set under it; each key has one set only.
-        return found.dropDuplicates(["k"])
+        """Full sets of the wanted keys, made again from the text of one row of each."""
+        ids = reps.join(wanted, "k").select(F.col("least").alias("id"))
+        found = _only(source, ids).mapInArrow(lambda it: _sets(it, words), "k long, shingles binary")
+        # Rows that share an id may hold the same set twice, or another.
+        return found.join(wanted, "k", "left_semi").dropDuplicates(["k"])
 
     found = _Links(reps.select("k", "sig"), sets, share)
-    tree = F.posexplode(F.slice("path", 1, TREES))
-    members = reps.select("k", tree).select("k", F.xxhash64("pos", "col").alias("node"))
+    members = _children(reps.select("k", "path"), F.lit(0), 0, TREES)
     for level in range(DEPTH + 1):
         members = members.withColumn("label", F.col("k")) if found.labels is None else found.labelled(members.select("k", "node"))
         nodes = _nodes_with_choice(members)
         members = stored(members.join(nodes, "node").select("node", "k", "n"), "members")
         if members.isEmpty():
             break
-        hubs(found, members)
-        compare(found, members)
+        found.add(hubs(members))
+        found.add(apart(found, members))
         crowded = found.labelled(members.filter(F.col("n") > LEAF))
         open_ = _nodes_with_choice(crowded).select("node")
         crowded = crowded.join(open_, "node").select("node", "k")
         if level < DEPTH:
-            first = TREES + 2 * level
-            step = F.posexplode(F.slice("path", first + 1, 2))
-            members = (
-                crowded.join(reps.select("k", "path"), "k").select("node", "k", step)
-                .select("k", F.xxhash64("node", F.lit(level), "pos", "col").alias("node"))
-            )
+            first = STEP * (TREES + BRANCHES * level)
+            members = _children(crowded.join(reps.select("k", "path"), "k"), F.col("node"), first, BRANCHES)
         else:
-            neighbours(found, crowded, reps)
+            found.add(neighbours(crowded, reps))
     at = free_name(base, "llm_id")
     if found.labels is None:
         least = reps.select("k", F.col("least").alias("component_id"))
@@ -269,18 +306,17 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col(id), F.lit(True)))
 
 
-def hubs(found: _Links, members: DataFrame) -> None:
-    """Compare each node's members with a hub, and crowded nodes' with the member most hubs agree with."""
+def _children(members: DataFrame, node: Column, first: int, branches: int) -> DataFrame:
+    """(k, node) of each branch, named by ``STEP`` values of the path from ``first`` on."""
+    named = [F.xxhash64(node, F.lit(i), F.slice("path", first + i * STEP + 1, STEP)) for i in range(branches)]
+    return members.select("k", F.explode(F.array(*named)).alias("node"))
+
+
+def hubs(members: DataFrame) -> DataFrame:
+    """Pairs of each node's members with its least one, and in a crowded node with another one too."""
     least = members.groupBy("node").agg(F.min("k").alias("hub"))
     some = members.filter(F.col("n") > LEAF).groupBy("node").agg(F.min_by("k", F.xxhash64("node", "k")).alias("hub"))
-    found.add(_with_hub(members, least.unionAll(some)))
-    crowded = found.labelled(members.filter(F.col("n") > LEAF))
-    open_ = _nodes_with_choice(crowded).select("node")
-    if found.links is None or open_.isEmpty():
-        return
-    degree = found.links.groupBy(F.col("b").alias("k")).agg(F.count("*").alias("degree"))
-    ranked = crowded.join(open_, "node").join(degree, "k").groupBy("node")
-    found.add(_with_hub(members, ranked.agg(F.max_by("k", F.struct("degree", "k")).alias("hub"))))
+    return _with_hub(members, least.unionAll(some))
 
 
 def _with_hub(members: DataFrame, hub: DataFrame) -> DataFrame:
@@ -288,22 +324,28 @@ def _with_hub(members: DataFrame, hub: DataFrame) -> DataFrame:
     return pairs.select(F.col("hub").alias("a"), F.col("k").alias("b"))
 
 
-def compare(found: _Links, members: DataFrame) -> None:
-    """All pairs of small nodes that are not connected yet."""
-    small = found.labelled(members.filter(F.col("n") <= LEAF))
-    small = stored(small.join(_nodes_with_choice(small).select("node"), "node").select("node", "k", "label"), "small")
-    if not small.isEmpty():
-        x, y = small.alias("x"), small.alias("y")
-        apart: Column = (F.col("x.node") == F.col("y.node")) & (F.col("x.k") < F.col("y.k"))
-        pairs = x.join(y, apart & (F.col("x.label") != F.col("y.label")))
-        found.add(pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")))
-    discard(small)
+def apart(found: _Links, members: DataFrame) -> DataFrame:
+    """Pairs still to be compared: all that are not connected in small nodes, and with a second hub in crowded ones.
+
+    The second hub is the member that most hubs are linked with: the middle of a group of copies.
+    """
+    now = found.labelled(members)
+    now = stored(now.join(_nodes_with_choice(now).select("node"), "node").select("node", "k", "n", "label"), "apart")
+    x, y = (now.filter(F.col("n") <= LEAF).alias(a) for a in "xy")
+    differ: Column = (F.col("x.node") == F.col("y.node")) & (F.col("x.k") < F.col("y.k")) & (F.col("x.label") != F.col("y.label"))
+    pairs = x.join(y, differ).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+    if found.links is None:
+        return pairs
+    degree = found.links.groupBy(F.col("b").alias("k")).agg(F.count("*").alias("degree"))
+    crowded = now.filter(F.col("n") > LEAF)
+    hub = crowded.join(degree, "k").groupBy("node").agg(F.max_by("k", F.struct("degree", "k")).alias("hub"))
+    return pairs.unionAll(_with_hub(crowded, hub))
 
 
-def neighbours(found: _Links, crowded: DataFrame, reps: DataFrame) -> None:
+def neighbours(crowded: DataFrame, reps: DataFrame) -> DataFrame:
     """Members of nodes still crowded at the last level: each with those next to it in order of the path."""
     order = W.Window.partitionBy("node", "salt").orderBy("path", "k")
     salted = crowded.join(reps.select("k", "path"), "k").withColumn("salt", F.col("path")[0])
-    for n in (1, 2, 3, 4):
-        near = salted.withColumn("a", F.lag("k", n).over(order)).filter("a IS NOT NULL")
-        found.add(near.select("a", F.col("k").alias("b")))
+    near = salted.withColumn("others", F.array(*[F.lag("k", n).over(order) for n in range(1, 9)]))
+    near = near.select(F.explode("others").alias("a"), F.col("k").alias("b"))
+    return near.filter("a IS NOT NULL")
