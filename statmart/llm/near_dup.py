@@ -33,7 +33,9 @@ TREES, LEAF, DEPTH, VALUES = 12, 32, 4, 96
 STEP, BRANCHES = 2, 2
 PATHS = STEP * (TREES + BRANCHES * DEPTH)
 #: Words that a worker remembers, and bits of the filter that tells whose text is fetched (1 MB).
-CACHE_WORDS, FILTER_BITS = 500_000, 1 << 23
+CACHE_WORDS, FILTER_BITS = 200_000, 1 << 23
+#: Rows of a batch that are worked on at once.
+ROWS = 256
 U = np.uint64
 _RNG = np.random.default_rng(23)
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=U) | U(1)
@@ -71,8 +73,8 @@ def _summaries(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordB
     """Per row: size of its set, the set's key, the values that paths choose from, and a byte of each value."""
     words = Words()
     for b in batches:
-        for at in range(0, b.num_rows, 512):
-            part = b.slice(at, 512)
+        for at in range(0, b.num_rows, ROWS):
+            part = b.slice(at, ROWS)
             if len(words) > CACHE_WORDS:
                 words.clear()
             sets = [shingles(t, words, n) for t in part.column(1).to_pylist()]
@@ -108,7 +110,7 @@ def _key(s: np.ndarray) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     words = Words()
-    for b in batches:
+    for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
         if len(words) > CACHE_WORDS:
             words.clear()
         rows = [shingles(t, words, n) for t in b.column(1).to_pylist()]
@@ -152,8 +154,8 @@ def _confirm(share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             linked = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
