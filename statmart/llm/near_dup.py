@@ -9,6 +9,7 @@ twelve trees, a pair at the threshold fails to meet at the roots' children once
 Links are wanted only for the components they make up. So a node first compares its members with
 a hub, and members that are already connected are compared no more; a node whose members are all
 connected does not branch. A large group of copies of one text thus costs one comparison a copy.
+Nodes still crowded at the last level are compared whole, block against block.
 Pairs are screened by their MinHash values (five standard deviations below the threshold) and
 then confirmed on the full sets.
 """
@@ -23,7 +24,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from .shared import discard, free_name, stored
 
@@ -291,7 +291,7 @@ def near_duplicates(
             first = STEP * (TREES + BRANCHES * level)
             members = _children(crowded.join(reps.select("k", "path"), "k"), F.col("node"), first, BRANCHES)
         else:
-            found.add(neighbours(crowded, reps))
+            found.add(in_blocks(found, crowded))
     at = free_name(base, "llm_id")
     if found.labels is None:
         least = reps.select("k", F.col("least").alias("component_id"))
@@ -344,10 +344,34 @@ def apart(found: _Links, members: DataFrame) -> DataFrame:
     return pairs.unionAll(_with_hub(crowded, hub))
 
 
-def neighbours(crowded: DataFrame, reps: DataFrame) -> DataFrame:
-    """Members of nodes still crowded at the last level: each with those next to it in order of the path."""
-    order = W.Window.partitionBy("node", "salt").orderBy("path", "k")
-    salted = crowded.join(reps.select("k", "path"), "k").withColumn("salt", F.col("path")[0])
-    near = salted.withColumn("others", F.array(*[F.lag("k", n).over(order) for n in range(1, 9)]))
-    near = near.select(F.explode("others").alias("a"), F.col("k").alias("b"))
-    return near.filter("a IS NOT NULL")
+def _across(least: int):
+    """Pairs of two blocks that MinHash values do not rule out, by rows of the first block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                (kx, lx, sx), (ky, ly, sy) = (
+                    [b.column(j)[i].values for j in range(at, at + 3)] for at in (0, 3)
+                )
+                kx, lx, ky, ly = (v.to_numpy() for v in (kx, lx, ky, ly))
+                x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, VALUES) for v in (sx, sy))
+                for r in range(len(x)):
+                    near = ((y == x[r]).sum(1) >= least) & (ly != lx[r]) & (ky != kx[r])
+                    if near.any():
+                        low, high = np.minimum(kx[r], ky[near]), np.maximum(kx[r], ky[near])
+                        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    return run
+
+
+def in_blocks(found: _Links, crowded: DataFrame) -> DataFrame:
+    """Nodes still crowded at the last level: all members that are not connected, block against block."""
+    members = found.labelled(crowded).join(found.sigs, "k")
+    sizes = members.groupBy("node").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64("k", "node"), F.ceil(F.col("n") / ROWS))
+    columns = [F.collect_list(c).alias(c) for c in ("k", "label", "sig")]
+    blocks = stored(members.join(sizes, "node").groupBy("node", block.alias("block")).agg(*columns), "blocks")
+    x, y = blocks.alias("x"), blocks.alias("y")
+    both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.block") <= F.col("y.block")))
+    both = both.select(*[F.col(f"{side}.{c}").alias(side + c) for side in "xy" for c in ("k", "label", "sig")])
+    return both.mapInArrow(_across(found.least), "a long, b long")
