@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,7 +32,7 @@ TREES, LEAF, DEPTH, VALUES = 12, 32, 4, 96
 STEP, BRANCHES = 2, 2
 PATHS = STEP * (TREES + BRANCHES * DEPTH)
 #: Words that a worker remembers, and bits of the filter that tells whose text is fetched (1 MB).
-CACHE_WORDS, FILTER_BITS = 200_000, 1 << 23
+CACHE_WORDS, FILTER_BITS = 100_000, 1 << 23
 #: Rows of a batch that are worked on at once.
 ROWS = 256
 U = np.uint64
@@ -108,15 +107,18 @@ def _key(s: np.ndarray) -> np.ndarray:
     return _mix(_mix(s * _PERMS[0]).sum(dtype=U) + np.array([len(s)], U))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], n: int, wanted) -> Iterator[pa.RecordBatch]:
+    """(k, shingles) of the rows whose id is ``wanted``."""
     words = Words()
-    for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        rows = [shingles(t, words, n) for t in b.column(1).to_pylist()]
-        keys = np.concatenate([_key(r) for r in rows]).view(np.int64) if rows else []
-        made = [pa.array(keys, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())]
-        yield pa.RecordBatch.from_arrays(made, names=["k", "shingles"])
+    for whole in batches:
+        whole = whole.filter(pa.array(wanted(whole.column(0).to_numpy(zero_copy_only=False))))
+        for b in (whole.slice(at, ROWS) for at in range(0, whole.num_rows, ROWS)):
+            if len(words) > CACHE_WORDS:
+                words.clear()
+            rows = [shingles(t, words, n) for t in b.column(1).to_pylist()]
+            keys = np.concatenate([_key(r) for r in rows]).view(np.int64)
+            made = [pa.array(keys, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=["k", "shingles"])
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,18 +128,18 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], names=["w", "b"])
 
 
-def _only(source: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``source`` whose id is one of ``ids``, and a few others: a filter of fixed size, no exchange."""
+def _only(ids: DataFrame):
+    """A test, of fixed size, that all of ``ids`` pass, and few others: no exchange of texts is needed."""
     rows = ids.mapInArrow(_places, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
     bits = np.zeros(FILTER_BITS // 64, U)
     bits[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).view(U)
-    shared = source.sparkSession.sparkContext.broadcast(bits)
+    shared = ids.sparkSession.sparkContext.broadcast(bits)
 
-    def wanted(id: pd.Series) -> pd.Series:  # noqa: A002
-        at = _mix(id.to_numpy(np.int64).view(U)) % U(FILTER_BITS)
-        return pd.Series((shared.value[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == U(1))
+    def wanted(of: np.ndarray) -> np.ndarray:
+        at = _mix(of.view(U)) % U(FILTER_BITS)
+        return (shared.value[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == U(1)
 
-    return source.filter("id IS NOT NULL").filter(F.pandas_udf(wanted, "boolean")("id"))
+    return wanted
 
 
 def _screen(least: int):
@@ -270,7 +272,9 @@ def near_duplicates(
     def sets(wanted: DataFrame) -> DataFrame:
         """Full sets of the wanted keys, made again from the text of one row of each."""
         ids = reps.join(wanted, "k").select(F.col("least").alias("id"))
-        found = _only(source, ids).mapInArrow(lambda it: _sets(it, words), "k long, shingles binary")
+        test = _only(ids)
+        named = source.filter("id IS NOT NULL")
+        found = named.mapInArrow(lambda it: _sets(it, words, test), "k long, shingles binary")
         # Rows that share an id may hold the same set twice, or another.
         return found.join(wanted, "k", "left_semi").dropDuplicates(["k"])
 
