@@ -871,7 +871,7 @@ _PZ = f"""pz AS (SELECT person_id AS personid, first_name AS firstname, family_n
   FROM (SELECT person_id, first_name, family_name, SUM(points) AS s, CAST(SUM(clicks) AS DOUBLE) AS c, CAST(COUNT(*) AS DOUBLE) AS n FROM f1 GROUP BY ALL))
 , tv AS (SELECT *, firstname || ' ' || familyname AS name, ROUND(0.6 * totalz + 0.4 * last_10_z, 6) AS v, CAST(personid AS VARCHAR) AS id FROM pz)"""
 MINE, THEIRS = list(range(0, 160, 8)), list(range(1, 161, 8))
-_IN = {"mine": ", ".join(map(str, MINE[:14])), "theirs": ", ".join(map(str, THEIRS[:14]))}
+_IN = {"mine": ", ".join(map(str, MINE)), "theirs": ", ".join(map(str, THEIRS))}
 
 
 def player_z(spark, sf):

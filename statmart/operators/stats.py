@@ -32,9 +32,14 @@ def zscores(df: DataFrame, cols: dict[str, str], partition: list[str]) -> DataFr
 
 
 def _value_bucket(v: Column, per_octave: int = 1024) -> Column:
-    """A non-decreasing integer function of a double; at most about 2 million values."""
-    magnitude = F.floor(F.log2(F.lit(1.0) + F.abs(v)) * per_octave)
-    return (F.signum(v) * magnitude).cast("bigint")
+    """A non-decreasing integer function of a double; at most about 2 million values.
+
+    Infinities share the outermost buckets; NaN, which sorts above all numbers, has its own.
+    """
+    largest = F.lit(1.7e308)
+    finite = F.when(F.isnan(v), 0.0).otherwise(F.greatest(-largest, F.least(v, largest)))
+    magnitude = F.floor(F.log2(F.lit(1.0) + F.abs(finite)) * per_octave)
+    return F.when(F.isnan(v), 1 << 40).otherwise((F.signum(finite) * magnitude).cast("bigint"))
 
 
 def rank_desc(

@@ -77,10 +77,13 @@ def suggest_trades(
     mode: str = "both",
     types: tuple[str, ...] = ("1for1", "2for2"),
     top_n: int = 15,
-    cap: int = 14,
+    cap: int | None = None,
     min_minutes_z: float | None = None,
 ) -> DataFrame:
-    """Ranked trades between two rosters; fails at run time if a side has no known player."""
+    """Ranked trades between two rosters; fails at run time if a side has no known player.
+
+    Every listed player takes part; ``cap`` keeps the first so many of each list, if wanted.
+    """
     minutes = first_existing(df, ["minuteszscore"])
     if min_minutes_z is not None and minutes:
         df = df.filter(at_least(minutes, min_minutes_z))
@@ -160,11 +163,12 @@ def evaluate_trade(df: DataFrame, side_a: list, side_b: list) -> DataFrame:
 
 
 def player_z_with_last10(z_avg: DataFrame, avg_current: DataFrame, z_last: DataFrame) -> DataFrame:
-    """Season z-scores with the last-ten total, for players whose dates agree in all three.
+    """Season z-scores with the last-ten total, best first, for players whose dates agree in all three.
 
     The join has no season key, as in the query it answers for; a player's dates
     determine the season.
     """
     last = z_last.select("personId", "gameDate", F.col("totalZ").alias("last_10_z"))
     dates = avg_current.select("personId", "gameDate")
-    return z_avg.join(dates, ["personId", "gameDate"]).join(last, ["personId", "gameDate"])
+    out = z_avg.join(dates, ["personId", "gameDate"]).join(last, ["personId", "gameDate"])
+    return out.orderBy(F.col("totalZ").desc_nulls_last(), "personId")

@@ -35,7 +35,7 @@ def ranked(z: DataFrame, season: DataFrame, n: int | None = None) -> DataFrame:
     """
     known = current_season_only(z, season).filter(F.col("totalZ").isNotNull())
     if n is None:
-        out = rank_desc(known, "totalZ", rank="player_rank")
+        out = rank_desc(known, "totalZ", rank="player_rank").orderBy("player_rank", "personId")
     else:
         out = rank_top(known, "totalZ", n, "player_rank", ["personId"])
     return out.select("player_rank", "firstName", "familyName", "totalZ", *Z_NAMES)

@@ -30,11 +30,13 @@ def local_session(app: str = "statmart", cores: str = "*", **conf: str) -> Spark
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a fresh local one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder of the cluster; a local session (tests) that names none gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="statmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="statmart-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 

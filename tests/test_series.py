@@ -109,3 +109,10 @@ def test_rank_top_keeps_global_ranks(spark, rows):
 def test_leaders_tie_goes_to_smallest_id_and_unknown_is_null(spark, rows):
     df = spark.createDataFrame([("w", 2, 5.0, None), ("w", 1, 5.0, None), ("w", 3, 1.0, None)], "g string, id int, a double, b double")
     assert rows(stats.leaders(df, {"A": "a", "B": "b"}, ["g"], ["id"], ["id"]), "category", "id") == [("A", 1), ("B", None)]
+
+
+def test_rank_of_nan_and_infinity(spark):
+    values = [float("nan"), float("inf"), 1.7e308, 2.0, 2.0, -1.0, float("-inf"), None]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    got = {r.id: (r.r, r.d) for r in stats.rank_desc(df, "v", rank="r", dense="d").collect()}
+    assert got == {0: (1, 1), 1: (2, 2), 2: (3, 3), 3: (4, 4), 4: (4, 4), 5: (6, 5), 6: (7, 6), 7: (None, None)}
