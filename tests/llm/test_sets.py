@@ -85,6 +85,30 @@ def test_near_duplicates(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_crowded_nodes_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "DEPTH", 0)
+    monkeypatch.setattr(near_dup, "LEAF", 4)
+    monkeypatch.setattr(near_dup, "ROWS", 16)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    docs = []
+    for i in range(60):
+        copy = list(base)
+        copy[i], copy[7 * i % 120] = f"x{i % 3}", f"z{i}"
+        docs.append((i, " ".join(copy)))
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in docs)]
+    label, changed = list(range(60)), True
+    while changed:
+        changed = False
+        for a, b in itertools.combinations(range(60), 2):
+            if _linked(sets[a], sets[b]) and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df).collect()}
+    assert [got[i] for i in range(60)] == label
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.k: r.label for r in near_dup.components(links).collect()}
