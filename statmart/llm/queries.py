@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licences, near_dup, nearest, quality, shards, suffix_dedup, toxicity
+from . import bpe, chat, decontaminate, licences, near_dup, nearest, quality, shards, suffix_dedup, toxicity, variants
 from .shared import table
 
 QUERIES: dict = {}
@@ -167,3 +167,9 @@ def op10_suffix_dedup(spark, sf):
 def op7_near_dup(spark, sf):
     out = near_dup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op13_variants(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return variants.grouped(variants.word_counts(docs, noise="doc_id"))
