@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licences, near_dup, nearest, quality, shards, suffix_dedup, toxicity, variants
+from . import align, bpe, chat, decontaminate, licences, near_dup, nearest, quality, secrets, shards, suffix_dedup, toxicity, variants
 from .shared import table
 
 QUERIES: dict = {}
@@ -169,6 +169,23 @@ def op7_near_dup(spark, sf):
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query()
+def op11_align(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.aligned(docs, *paths, keep_text=False)
+
+
+@query(secrets.oracle())
+def op12_secrets(spark, sf):
+    out = secrets.scanned(table(spark, sf, "documents").select("doc_id", "text"), keep_text=False)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = F.filter("spans", lambda s: s["kind"].isin(secrets.BASE))
+    return out.select(
+        "doc_id", *[count(k) for k in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
+
+
 @query()
 def op13_variants(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
