@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .shared import free_name
 
@@ -66,7 +67,7 @@ class Encoder:
             self.merged[x, y] = (rank, z)
             self.parts.setdefault(z, self.parts[x] + self.parts[y])
         words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(words)
+        self.words, self.library = regex.compile(words), Tokenizer.from_file(path)
         self.special = regex.compile("|".join(map(regex.escape, self.specials)) or r"(?!)")
         # Ids and decoded text of blank-separated chunks, and of the words in them.
         self.cache: dict[str, tuple[bytes, bytes]] = {}
@@ -87,12 +88,14 @@ class Encoder:
         if part.isascii():
             yield from self.words.findall(part.lower())
             return
+        if any(unicodedata.category(c) == "Cn" for c in part):
+            # Code points that Python has no name for yet: the library knows which of them are letters.
+            plain = self.library.normalizer.normalize_str(part)
+            for _, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(plain):
+                yield plain[start:end]
+            return
         # Letter by letter: a final sigma is no special case here.
-        part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-        # Code points without a meaning yet are neither letters nor digits, whatever the pattern library's version.
-        shape = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in part)
-        for m in self.words.finditer(shape):
-            yield part[m.start() : m.end()]
+        yield from self.words.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
 
     def spelled(self, word: str | int) -> list[int]:
         """Base symbols of one word; a special token stands for itself."""
@@ -251,7 +254,7 @@ def encoded(
     Texts with an unsplit run of ``run`` characters are encoded in pieces by several tasks.
     """
     outputs = ["n_tokens", "ids_sha256", "decoded_sha256", *([ids] if ids else [])]
-    kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if ids else "")
+    kinds = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (f", `{ids}` binary" if ids else "")
     kept = df.drop(*[c for c in df.columns if c.lower() in {o.lower() for o in outputs} and c != text])
     work = free_name(kept, "llm_text")
     # Only what the tasks need goes to Python besides the other columns, which pass as they are.
@@ -264,7 +267,7 @@ def encoded(
         enc = encoder(vocabulary)
         for b in batches:
             texts = b.column(b.num_columns - 1).to_pylist()
-            yield _with(b, len(names), [_digest(*enc.encode(t), with_ids) for t in texts], with_ids)
+            yield _with(b, len(names), [_digest(*enc.encode(t), with_ids) for t in texts], outputs)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     short = direct.mapInArrow(whole, f"{fields}, {kinds}")
@@ -274,27 +277,23 @@ def encoded(
         .repartition("key", "seq")
         .mapInArrow(lambda it: _encode_pieces(it, vocabulary), "key string, seq int, tokens binary")
         .groupBy("key")
-        .applyInPandas(lambda pdf: _concatenate(pdf, vocabulary, with_ids), f"key string, {kinds}")
+        .applyInPandas(lambda pdf: _concatenate(pdf, vocabulary, with_ids, outputs), f"key string, {kinds}")
     )
     sha = free_name(kept, "llm_key")
     far = (
         kept.filter(long)
         .withColumn(sha, F.sha2(F.col(text), 256))
         .join(done.withColumnRenamed("key", sha), sha)
-        .select(*[F.col(f"`{c}`") for c in names], *[F.col(k.split()[0]) for k in kinds.split(", ")])
+        .select(*[F.col(f"`{c}`") for c in [*names, *outputs]])
     )
-    out = short.unionByName(far)
-    if ids:
-        out = out.withColumnRenamed("ids", ids)
-    return out
+    return short.unionByName(far)
 
 
-def _with(batch: pa.RecordBatch, n: int, rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * (4 if with_ids else 3)
+def _with(batch: pa.RecordBatch, n: int, rows: list[tuple], outputs: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * len(outputs)
     kinds = [pa.int64(), pa.string(), pa.string(), pa.binary()]
     made = [pa.array(c, k) for c, k in zip(cols, kinds)]
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(made)]
-    return pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*batch.schema.names[:n], *names])
+    return pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*batch.schema.names[:n], *outputs])
 
 
 def _cut(batches, vocabulary: str):
@@ -324,15 +323,14 @@ def _encode_pieces(batches, vocabulary: str):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], names=["key", "seq", "tokens"])
 
 
-def _concatenate(pdf, vocabulary: str, with_ids: bool):
+def _concatenate(pdf, vocabulary: str, with_ids: bool, outputs: list[str]):
     enc = encoder(vocabulary)
     parts = [np.frombuffer(t, "<u4").tolist() for t in pdf.sort_values("seq")["tokens"]]
     while len(parts) > 1:
         parts = [enc.join(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
     ids = parts[0]
     row = _digest(np.array(ids, "<u4").tobytes(), enc.decode(ids).encode(), with_ids)
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(row)]
-    return type(pdf)([(pdf["key"].iloc[0], *row)], columns=["key", *names])
+    return type(pdf)([(pdf["key"].iloc[0], *row)], columns=["key", *outputs])
 
 
 def decoded(df: DataFrame, vocabulary: str, ids: str, out: str = "decoded") -> DataFrame:

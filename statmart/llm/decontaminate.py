@@ -143,17 +143,24 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = np.frombuffer(b"".join(mine.to_pylist()), "<u8").reshape(-1, CONTEXT)
         t = np.frombuffer(b"".join(theirs.to_pylist()), "<u8").reshape(-1, CONTEXT)
         same = np.zeros((len(a), CONTEXT + 1), np.int32)
-        np.cumsum(a == t, axis=1, out=same[:, 1:])
+        agree = a == t
+        np.cumsum(agree, axis=1, out=same[:, 1:])
         good = same[:, WIDTH:] - same[:, :-WIDTH] >= WIDTH - CHANGED
         hit = np.flatnonzero(good.any(1))
-        good = good[hit]
+        good, agree = good[hit], agree[hit]
+        # From the first to the last word that agrees within the windows: a substituted word at an
+        # overlap's edge is as likely to be the document's own.
+        first, last = good.argmax(1), good.shape[1] - 1 - good[:, ::-1].argmax(1) + WIDTH
+        place = np.arange(CONTEXT)
+        agree &= (place >= first[:, None]) & (place < last[:, None])
+        first, last = agree.argmax(1), CONTEXT - agree[:, ::-1].argmax(1)
         at = start.to_numpy(zero_copy_only=False)[hit] - BEFORE
         yield pa.RecordBatch.from_arrays(
             [
                 doc.take(pa.array(hit)),
                 item.take(pa.array(hit)),
-                pa.array((at + good.argmax(1)).astype(np.int32)),
-                pa.array((at + good.shape[1] - 1 - good[:, ::-1].argmax(1) + WIDTH).astype(np.int32)),
+                pa.array((at + first).astype(np.int32)),
+                pa.array((at + last).astype(np.int32)),
             ],
             names=["id", "item", "start", "end"],
         )
@@ -173,7 +180,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, names: Columns = Columns())
     an item in the same places. Words are compared by their letters and digits in lower case.
     Items of fewer than twelve words are too short to be told from chance and find nothing. Rows
     that share an id are judged together, a null id included; null texts have no words; equal
-    items are all reported. ``spans`` are merged (start, end) word positions, end exclusive.
+    items are all reported. ``spans`` are merged (start, end) word positions, end exclusive, from the
+    first to the last word that agrees.
     """
     texts = benchmark.select(F.col(names.item).cast("long").alias("item"), F.col(names.text).alias("text"))
     seeds = stored(_seed_rows(texts.dropna().distinct(), "item", "text", "item"), "seeds")

@@ -2,21 +2,23 @@
 
 A document is a set of word shingles; documents with equal sets are one set. From the root of
 each tree a set goes to the child named by two of its minwise shingles, so similar sets stay
-together with a probability that is their similarity squared. Small nodes are compared
-exhaustively; large ones branch again, each set along two more pairs of minwise shingles. With
-twelve trees, a pair at the threshold fails to meet at the roots' children once in four million.
-
-Links are wanted only for the components they make up. So a node first compares its members with
-a hub, and members that are already connected are compared no more; a node whose members are all
-connected does not branch. A large group of copies of one text thus costs one comparison a copy.
-Nodes still crowded at the last level are compared whole, block against block.
-Pairs are screened by their MinHash values (five standard deviations below the threshold) and
-then confirmed on the full sets.
+together with a probability that is their similarity squared. Nodes that are too large to compare
+branch again, each set along two more pairs of minwise shingles; the others are compared
+exhaustively. With twelve trees, a pair at the threshold fails to meet at the roots' children once
+in four million.
+
+A node's comparison goes by MinHash values and is meant to be generous (five standard deviations
+below the threshold): what it finds ties sets into candidate groups. Every group is then compared
+once on its full sets, whatever the number of nodes in which its members met: small ones whole in a
+task, large ones block against block, where only blocks of similar set sizes can hold links. A
+block's intersections are products of incidence matrices, exact, and what leaves a task is a
+spanning forest of its links, so a group of near copies costs no row for each of its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,17 @@ from pyspark.sql import functions as F
 
 from .shared import discard, free_name, stored
 
-#: Trees, members of a node that are compared exhaustively, levels, and minwise values per set.
+#: Trees, members of a node that are compared pair by pair, levels, and minwise values per set.
 TREES, LEAF, DEPTH, VALUES = 12, 32, 4, 96
+#: Members of a node that one task compares; members from which on a node branches, if it still can.
+TASK, HUGE = 2_048, 32_768
+#: Bytes of the sets of a block (of 4 * ROWS sets at most), and tokens of a slice of its matrix.
+BLOCK_BYTES, SLICE = 16 << 20, 4_096
 #: Shingles of a step and branches of a node; values that paths choose from.
 STEP, BRANCHES = 2, 2
 PATHS = STEP * (TREES + BRANCHES * DEPTH)
-#: Words that a worker remembers, and bits of the filter that tells whose text is fetched (1 MB).
-CACHE_WORDS, FILTER_BITS = 100_000, 1 << 23
+#: Words that a worker remembers; least and most bits of the filter that tells whose text is read again (16 MB).
+CACHE_WORDS, FILTER_BITS = 100_000, (1 << 16, 1 << 27)
 #: Rows of a batch that are worked on at once.
 ROWS = 256
 U = np.uint64
@@ -121,22 +127,25 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int, wanted) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays(made, names=["k", "shingles"])
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        at = _mix(b.column(0).to_numpy(zero_copy_only=False).view(U)) % U(FILTER_BITS)
-        word, bit = (at >> U(6)).astype(np.int32), (U(1) << (at & U(63))).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], names=["w", "b"])
+def _only(ids: DataFrame):
+    """A test, of bounded size, that all of ``ids`` pass, and few others: no exchange of texts is needed."""
+    n = ids.count()
+    low, high = FILTER_BITS
+    bits = min(high, max(low, 1 << (16 * n).bit_length()))
 
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _mix(b.column(0).to_numpy(zero_copy_only=False).view(U)) % U(bits)
+            word, bit = (at >> U(6)).astype(np.int32), (U(1) << (at & U(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], names=["w", "b"])
 
-def _only(ids: DataFrame):
-    """A test, of fixed size, that all of ``ids`` pass, and few others: no exchange of texts is needed."""
-    rows = ids.mapInArrow(_places, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    bits = np.zeros(FILTER_BITS // 64, U)
-    bits[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).view(U)
-    shared = ids.sparkSession.sparkContext.broadcast(bits)
+    rows = ids.mapInArrow(places, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    made = np.zeros(bits // 64, U)
+    made[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(U)
+    shared = ids.sparkSession.sparkContext.broadcast(made)
 
     def wanted(of: np.ndarray) -> np.ndarray:
-        at = _mix(of.view(U)) % U(FILTER_BITS)
+        at = _mix(of.view(U)) % U(bits)
         return (shared.value[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == U(1)
 
     return wanted
@@ -152,17 +161,102 @@ def _screen(least: int):
     return run
 
 
-def _confirm(share: int):
+def _forest(linked: np.ndarray) -> np.ndarray:
+    """The least index that each one is tied to by a symmetric matrix of links."""
+    label = np.arange(len(linked))
+    while True:
+        near = np.where(linked, label[None, :], len(linked)).min(1)
+        new = np.minimum(label, near)
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _shared(sets: list[np.ndarray], n_left: int) -> np.ndarray:
+    """How many shingles each of the first ``n_left`` sets shares with each of all sets."""
+    sizes = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    _, token, often = np.unique(flat, return_inverse=True, return_counts=True)
+    # Shingles of one set alone meet nothing; the others are numbered anew.
+    number = np.cumsum(often > 1) - 1
+    keep = often[token] > 1
+    owner, token = np.repeat(np.arange(len(sets)), sizes)[keep], number[token][keep]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    out = np.zeros((n_left, len(sets)), np.float32)
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, SLICE):
+        i, j = np.searchsorted(token, [low, low + SLICE])
+        held = np.zeros((len(sets), min(SLICE, int(token[-1]) + 1 - low)), np.float32)
+        held[owner[i:j], token[i:j] - low] = 1
+        out += held[:n_left] @ held.T
+    return out
+
+
+def _ties(sets: list[np.ndarray], second: np.ndarray, share: int) -> np.ndarray:
+    """The least index that the links of a cell tie each set to; ``second`` marks the other block's sets.
+
+    Within one block all pairs count, between two only pairs of the one with the other.
+    """
+    n, n_left = len(sets), len(sets) if not second.any() else int((~second).sum())
+    both = _shared(sets, n_left)
+    sizes = np.array([len(x) for x in sets], np.float32)
+    near = 100 * both >= share * (sizes[:n_left, None] + sizes[None, :] - both)
+    linked = np.zeros((n, n), bool)
+    linked[:n_left] = near
+    if second.any():
+        linked[:n_left, :n_left] = False
+    return _forest(linked | linked.T)
+
+
+def _compare(share: int):
+    """Rows (cell, second, k, shingles), those of a cell together, into ties (a, b)."""
+
+    def tied(rows: list) -> tuple[np.ndarray, np.ndarray]:
+        rows.sort(key=lambda r: (r[0], r[1]))
+        k = np.array([r[1] for r in rows], np.int64)
+        label = _ties([r[2] for r in rows], np.array([r[0] for r in rows], bool), share)
+        moved = label != np.arange(len(label))
+        return k[label[moved]], k[moved]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, rows = None, []
+        for b in batches:
+            found = []
+            names, second, keys = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            for at, name in enumerate(names):
+                if name != cell:
+                    if len(rows) > 1:
+                        found.append(tied(rows))
+                    cell, rows = name, []
+                # A copy, so that a batch is not held for one of its rows.
+                rows.append((second[at], keys[at], np.frombuffer(b.column(3)[at].as_buffer(), U).copy()))
+            if found:
+                yield _pairs_of(found)
+        if len(rows) > 1:
+            yield _pairs_of([tied(rows)])
+
+    return run
+
+
+def _pairs_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], names=["a", "b"])
+
+
+def _in_node(least: int):
+    """Rows (keys, signatures) of whole nodes into ties of the pairs that MinHash values do not rule out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            linked = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * shared >= share * (len(x) + len(y) - shared))
-            yield b.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+            for i in range(b.num_rows):
+                k = b.column(0)[i].values.to_numpy()
+                sig = np.frombuffer(b"".join(b.column(1)[i].values.to_pylist()), np.uint8).reshape(-1, VALUES)
+                linked = np.zeros((len(k), len(k)), bool)
+                for r in range(len(k)):
+                    linked[r] = (sig == sig[r]).sum(1) >= least
+                label = _forest(linked)
+                moved = label != np.arange(len(label))
+                yield _pairs_of([(k[label[moved]], k[moved])])
 
     return run
 
@@ -188,63 +282,67 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
-class _Links:
-    """Confirmed links so far, and the label of every set that has one."""
-
-    def __init__(self, sigs: DataFrame, sets, share: int) -> None:
-        self.sigs, self.sets, self.share = sigs, sets, share
-        self.links: DataFrame | None = None
-        self.labels: DataFrame | None = None
-        spread = (share / 100 * (1 - share / 100) / VALUES) ** 0.5
-        self.least = int(VALUES * (share / 100 - 5 * spread))
-
-    def labelled(self, members: DataFrame) -> DataFrame:
-        if self.labels is None:
-            return members.withColumn("label", F.col("k"))
-        return members.join(self.labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
-
-    def add(self, pairs: DataFrame) -> None:
-        """Screen and confirm pairs (a, b), and bring the labels up to date."""
-        x = self.sigs.select(F.col("k").alias("a"), F.col("sig").alias("x"))
-        y = self.sigs.select(F.col("k").alias("b"), F.col("sig").alias("y"))
-        near = pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        near = stored(near.mapInArrow(_screen(self.least), "a long, b long"), "near")
-        if near.isEmpty():
-            discard(near)
-            return
-        wanted = near.select(F.col("a").alias("k")).unionAll(near.select("b")).distinct()
-        sets = stored(self.sets(wanted), "sets")
-        x = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
-        y = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
-        found = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        found = stored(found.mapInArrow(_confirm(self.share), "a long, b long"), "links")
-        discard(near)
-        discard(sets)
-        if found.isEmpty():
-            return
-        if self.labels is None:
-            self.links, self.labels = found, components(found)
-            return
-        # Only what the new links connect is worked out: labels of labels.
-        self.links = self.links.unionAll(found)
-        ends = [found.select(F.col(c).alias("k"), "a", "b") for c in "ab"]
-        x = self.labelled(ends[0]).select("a", "b", F.col("label").alias("x"))
-        y = self.labelled(x.withColumn("k", F.col("b"))).select("x", F.col("label").alias("y"))
-        joined = components(y.filter("x <> y").distinct(), "x", "y")
-        known = self.labels.unionAll(found.select(F.col("a").alias("k"), F.col("a")).unionAll(found.select("b", "b")))
-        # A set's earlier label, if it has one, is never above its own key.
-        known = known.groupBy("k").agg(F.min("label").alias("label"))
-        far = joined.select(F.col("k").alias("label"), F.col("label").alias("far"))
-        new = stored(known.join(far, "label", "left").select("k", F.coalesce("far", "label").alias("label")), "labels")
-        discard(self.labels)
-        discard(joined)
-        self.labels = new
-
-
-def _nodes_with_choice(members: DataFrame) -> DataFrame:
-    """Nodes of two members or more that are not all connected: (node, n)."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return sizes.filter((F.col("n") > 1) & (F.col("lo") < F.col("hi"))).select("node", "n")
+def candidates(reps: DataFrame, share: int) -> list[DataFrame]:
+    """Stored ties (a, b) between sets that may be linked: all links are within the groups that they make."""
+    spread = (share / 100 * (1 - share / 100) / VALUES) ** 0.5
+    least = int(VALUES * (share / 100 - 5 * spread))
+    members, ties = _children(reps.select("k", "path"), F.lit(0), 0, TREES), []
+    for level in range(DEPTH + 1):
+        sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("k").alias("first")).filter("n > 1")
+        members = stored(members.join(sizes, "node").select("node", "k", "n", "first"), "members")
+        ties.append(stored(_in_small(members.filter(F.col("n") <= LEAF), reps, least), "ties"))
+        task = members.filter((F.col("n") > LEAF) & (F.col("n") <= TASK)).join(reps.select("k", "sig"), "k")
+        whole = task.groupBy("node").agg(F.collect_list("k").alias("ks"), F.collect_list("sig").alias("sigs")).select("ks", "sigs")
+        ties.append(stored(whole.mapInArrow(_in_node(least), "a long, b long"), "ties"))
+        # A node that is not compared here is a candidate group as a whole, unless it can branch.
+        large = members.filter((F.col("n") > TASK) & (F.lit(level == DEPTH) | (F.col("n") <= HUGE)))
+        ties.append(stored(large.filter("k <> first").select(F.col("first").alias("a"), F.col("k").alias("b")), "ties"))
+        huge = members.filter(F.col("n") > HUGE).select("node", "k")
+        if level == DEPTH or huge.isEmpty():
+            discard(members)
+            break
+        first = STEP * (TREES + BRANCHES * level)
+        deeper = stored(_children(huge.join(reps.select("k", "path"), "k"), F.col("node"), first, BRANCHES), "children")
+        discard(members)
+        members = deeper
+    return ties
+
+
+def _in_small(members: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    x, y = members.alias("x"), members.alias("y")
+    pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.k") < F.col("y.k"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+    x = reps.select(F.col("k").alias("a"), F.col("sig").alias("x"))
+    y = reps.select(F.col("k").alias("b"), F.col("sig").alias("y"))
+    near = pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    return near.mapInArrow(_screen(least), "a long, b long")
+
+
+def _cells(groups: DataFrame, share: int) -> DataFrame:
+    """(cell, second, k): which comparisons a set of a group takes part in.
+
+    A small group is one cell. A large one is cut into blocks by set size, in steps of the ratio that
+    two linked sets can have at most, and by hash; a block meets those of its own step and of the next.
+    """
+    step = F.floor(F.log("n") / F.log(F.lit(100 / share))).cast("int")
+    total = groups.groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+    blocks_of = lambda m, t: F.greatest(F.ceil(m / (4 * ROWS)), F.ceil(t * 8 / BLOCK_BYTES)).cast("int")
+    marked = groups.join(total, "label").withColumn("large", blocks_of(F.col("m"), F.col("tokens")) > 1)
+    small = marked.filter("NOT large").select(F.col("label").cast("string").alias("cell"), F.lit(False).alias("second"), "k")
+    large = marked.filter("large").select("label", "k", "n", step.alias("step"))
+    steps = large.groupBy("label", "step").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
+    steps = stored(steps.select("label", "step", blocks_of(F.col("m"), F.col("t")).alias("blocks")), "steps")
+    above = steps.select("label", (F.col("step") - 1).alias("step"), F.col("blocks").alias("above"))
+    below = steps.select("label", (F.col("step") + 1).alias("step"), F.col("blocks").alias("below"))
+    placed = large.join(steps, ["label", "step"]).join(above, ["label", "step"], "left").join(below, ["label", "step"], "left")
+    block = F.pmod(F.xxhash64("k", "label"), F.col("blocks")).cast("int")
+    name = lambda s, i, t, j: F.concat_ws(".", F.col("label").cast("string"), s, i, t, j)
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.transform(upto(F.col("blocks")), lambda j: F.struct(
+        name(F.col("step"), F.least(j, F.col("block")), F.col("step"), F.greatest(j, F.col("block"))).alias("cell"), (j < F.col("block")).alias("second")))
+    up = F.transform(upto(F.coalesce("above", F.lit(0))), lambda j: F.struct(name(F.col("step"), F.col("block"), F.col("step") + 1, j).alias("cell"), F.lit(False).alias("second")))
+    down = F.transform(upto(F.coalesce("below", F.lit(0))), lambda j: F.struct(name(F.col("step") - 1, j, F.col("step"), F.col("block")).alias("cell"), F.lit(True).alias("second")))
+    cells = placed.withColumn("block", block).select("k", F.inline(F.concat(own, up, down))).select("cell", "second", "k")
+    return small.unionByName(cells)
 
 
 def near_duplicates(
@@ -266,43 +364,27 @@ def near_duplicates(
     rows = stored(source.mapInArrow(lambda it: _summaries(it, words), kinds), "summaries")
     with_set = rows.filter("n > 0 AND id IS NOT NULL")
     reps = stored(
-        with_set.groupBy("k").agg(F.min("id").alias("least"), F.first("path").alias("path"), F.first("sig").alias("sig")), "reps"
+        with_set.groupBy("k").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("path").alias("path"), F.first("sig").alias("sig")), "reps"
     )
-
-    def sets(wanted: DataFrame) -> DataFrame:
-        """Full sets of the wanted keys, made again from the text of one row of each."""
-        ids = reps.join(wanted, "k").select(F.col("least").alias("id"))
-        test = _only(ids)
-        named = source.filter("id IS NOT NULL")
-        found = named.mapInArrow(lambda it: _sets(it, words, test), "k long, shingles binary")
-        # Rows that share an id may hold the same set twice, or another.
-        return found.join(wanted, "k", "left_semi").dropDuplicates(["k"])
-
-    found = _Links(reps.select("k", "sig"), sets, share)
-    members = _children(reps.select("k", "path"), F.lit(0), 0, TREES)
-    for level in range(DEPTH + 1):
-        members = members.withColumn("label", F.col("k")) if found.labels is None else found.labelled(members.select("k", "node"))
-        nodes = _nodes_with_choice(members)
-        members = stored(members.join(nodes, "node").select("node", "k", "n"), "members")
-        if members.isEmpty():
-            break
-        found.add(hubs(members))
-        found.add(apart(found, members))
-        crowded = found.labelled(members.filter(F.col("n") > LEAF))
-        open_ = _nodes_with_choice(crowded).select("node")
-        crowded = crowded.join(open_, "node").select("node", "k")
-        if level < DEPTH:
-            first = STEP * (TREES + BRANCHES * level)
-            members = _children(crowded.join(reps.select("k", "path"), "k"), F.col("node"), first, BRANCHES)
-        else:
-            found.add(in_blocks(found, crowded))
+    ties = candidates(reps, share)
+    groups = stored(components(reduce(DataFrame.unionAll, ties)).join(reps.select("k", "n"), "k"), "groups")
+    for found in ties:
+        discard(found)
+    # Full sets of the groups' members, made again from the text of one row of each.
+    test = _only(groups.select("k").join(reps.select("k", "least"), "k").select(F.col("least").alias("id")))
+    again = source.filter("id IS NOT NULL").mapInArrow(lambda it: _sets(it, words, test), "k long, shingles binary")
+    # Rows that share an id may hold the same set twice, or another.
+    sets = again.join(groups.select("k"), "k", "left_semi").dropDuplicates(["k"])
+    cells = _cells(groups, share).join(sets, "k").select("cell", "second", "k", "shingles")
+    together = cells.repartition("cell").sortWithinPartitions("cell")
+    links = stored(together.mapInArrow(_compare(share), "a long, b long"), "links")
+    labels = components(links)
     at = free_name(base, "llm_id")
-    if found.labels is None:
-        least = reps.select("k", F.col("least").alias("component_id"))
-    else:
-        known = reps.join(found.labels, "k", "left").select("k", "least", F.coalesce("label", "k").alias("label"))
-        low = known.groupBy("label").agg(F.min("least").alias("component_id"))
-        least = known.join(low, "label").select("k", "component_id")
+    known = reps.join(labels, "k", "left").select("k", "least", F.coalesce("label", "k").alias("label"))
+    low = known.groupBy("label").agg(F.min("least").alias("component_id"))
+    least = stored(known.join(low, "label").select("k", "component_id"), "components")
+    for used in (reps, groups, links, labels):
+        discard(used)
     # Rows that share an id are one document.
     own = rows.select("id", "n", "k").join(least, "k", "left")
     own = own.groupBy(F.col("id").alias(at)).agg(
@@ -316,66 +398,3 @@ def _children(members: DataFrame, node: Column, first: int, branches: int) -> Da
     """(k, node) of each branch, named by ``STEP`` values of the path from ``first`` on."""
     named = [F.xxhash64(node, F.lit(i), F.slice("path", first + i * STEP + 1, STEP)) for i in range(branches)]
     return members.select("k", F.explode(F.array(*named)).alias("node"))
-
-
-def hubs(members: DataFrame) -> DataFrame:
-    """Pairs of each node's members with its least one, and in a crowded node with another one too."""
-    least = members.groupBy("node").agg(F.min("k").alias("hub"))
-    some = members.filter(F.col("n") > LEAF).groupBy("node").agg(F.min_by("k", F.xxhash64("node", "k")).alias("hub"))
-    return _with_hub(members, least.unionAll(some))
-
-
-def _with_hub(members: DataFrame, hub: DataFrame) -> DataFrame:
-    pairs = members.join(hub, "node").filter(F.col("hub") != F.col("k"))
-    return pairs.select(F.col("hub").alias("a"), F.col("k").alias("b"))
-
-
-def apart(found: _Links, members: DataFrame) -> DataFrame:
-    """Pairs still to be compared: all that are not connected in small nodes, and with a second hub in crowded ones.
-
-    The second hub is the member that most hubs are linked with: the middle of a group of copies.
-    """
-    now = found.labelled(members)
-    now = stored(now.join(_nodes_with_choice(now).select("node"), "node").select("node", "k", "n", "label"), "apart")
-    x, y = (now.filter(F.col("n") <= LEAF).alias(a) for a in "xy")
-    differ: Column = (F.col("x.node") == F.col("y.node")) & (F.col("x.k") < F.col("y.k")) & (F.col("x.label") != F.col("y.label"))
-    pairs = x.join(y, differ).select(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
-    if found.links is None:
-        return pairs
-    degree = found.links.groupBy(F.col("b").alias("k")).agg(F.count("*").alias("degree"))
-    crowded = now.filter(F.col("n") > LEAF)
-    hub = crowded.join(degree, "k").groupBy("node").agg(F.max_by("k", F.struct("degree", "k")).alias("hub"))
-    return pairs.unionAll(_with_hub(crowded, hub))
-
-
-def _across(least: int):
-    """Pairs of two blocks that MinHash values do not rule out, by rows of the first block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                (kx, lx, sx), (ky, ly, sy) = (
-                    [b.column(j)[i].values for j in range(at, at + 3)] for at in (0, 3)
-                )
-                kx, lx, ky, ly = (v.to_numpy() for v in (kx, lx, ky, ly))
-                x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, VALUES) for v in (sx, sy))
-                for r in range(len(x)):
-                    near = ((y == x[r]).sum(1) >= least) & (ly != lx[r]) & (ky != kx[r])
-                    if near.any():
-                        low, high = np.minimum(kx[r], ky[near]), np.maximum(kx[r], ky[near])
-                        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    return run
-
-
-def in_blocks(found: _Links, crowded: DataFrame) -> DataFrame:
-    """Nodes still crowded at the last level: all members that are not connected, block against block."""
-    members = found.labelled(crowded).join(found.sigs, "k")
-    sizes = members.groupBy("node").agg(F.count("*").alias("n"))
-    block = F.pmod(F.xxhash64("k", "node"), F.ceil(F.col("n") / ROWS))
-    columns = [F.collect_list(c).alias(c) for c in ("k", "label", "sig")]
-    blocks = stored(members.join(sizes, "node").groupBy("node", block.alias("block")).agg(*columns), "blocks")
-    x, y = blocks.alias("x"), blocks.alias("y")
-    both = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.block") <= F.col("y.block")))
-    both = both.select(*[F.col(f"{side}.{c}").alias(side + c) for side in "xy" for c in ("k", "label", "sig")])
-    return both.mapInArrow(_across(found.least), "a long, b long")

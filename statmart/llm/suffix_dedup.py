@@ -27,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import free_name, stored
@@ -443,19 +443,23 @@ def repeats_removed(
         .mapInArrow(lambda it: _index(it, span), _FOUND),
         "repeats",
     )
-    k_doc, k_th = free_name(base, "llm_doc"), free_name(base, "llm_th")
+    k_doc, k_th, k_wants, k_ranges, k_text = (free_name(base, f"llm_{x}") for x in ("doc", "th", "wants", "ranges", "text"))
     keyed = base.withColumns({k_doc: doc, k_th: th})
     want = F.struct("kind", "route", "start", "end")
-    wants = found.filter(F.col("kind") != REMOVED).groupBy("doc", "th").agg(F.collect_list(want).alias("wants"))
-    same: Column = (F.col(k_doc) == F.col("doc")) & (F.col(k_th) == F.col("th"))
-    slices = keyed.join(wants, same).select("doc", "th", F.col(text).cast("binary").alias("bytes"), "wants").mapInArrow(
+    asked = found.filter(F.col("kind") != REMOVED).groupBy("doc", "th").agg(F.collect_list(want).alias("wants"))
+    own = [F.col("doc").alias(k_doc), F.col("th").alias(k_th)]
+    rows = keyed.select(k_doc, k_th, F.col(f"`{text}`").cast("binary").alias(k_text)).join(asked.select(*own, F.col("wants").alias(k_wants)), [k_doc, k_th])
+    slices = rows.select(F.col(k_doc).alias("doc"), F.col(k_th).alias("th"), F.col(k_text).alias("bytes"), F.col(k_wants).alias("wants")).mapInArrow(
         lambda it: _fetch(it, span), _SLICES
     )
     more = slices.repartition("route").mapInArrow(lambda it: _compare(it, span), _FOUND)
     ranges = found.filter(F.col("kind") == REMOVED).unionByName(more)
     per_row = ranges.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    per_row = per_row.select(*own, F.col("ranges").alias(k_ranges))
     names = [c for c in base.columns if keep_text or c != text]
-    joined = keyed.join(per_row, same, "left").select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("binary").alias("llm_t"), "ranges")
+    joined = keyed.join(per_row, [k_doc, k_th], "left").select(
+        *[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").cast("binary").alias(k_text), k_ranges
+    )
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name in names)
     kinds = "n_bytes long, n_removed long, spans array<struct<start: int, end: int>>, kept binary"
     n = len(names)

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .shared import discard, free_name, stored
 
-#: Buckets of hashed features; words of a chain (longer lines are cut); words a worker remembers.
-BUCKETS, CHAIN, CACHE_WORDS = 1 << 18, 128, 500_000
+#: Buckets of hashed features; words a worker remembers; bytes of text that are tagged at once.
+BUCKETS, CACHE_WORDS, BYTES = 1 << 18, 500_000, 16 << 20
+#: Words of an example's chain: the field is fitted on pieces of lines, and tags lines whole.
+PIECE = 128
 #: Labelled documents that a model is fitted on, at most, of each class.
 SAMPLE = 3_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -98,19 +100,15 @@ def marginals(odds: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.nd
 
 
 def chains(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """All words, the lengths of the chains, and the number of words of each text."""
+    """All words, the lengths of the chains (a line each), and the number of words of each text."""
     words, lengths, counts = [], [], []
     for text in texts:
         before = len(words)
         for line in (text or "").split("\n"):
             w = line.split()
             words += w
-            n = len(w)
-            while n > CHAIN:
-                lengths.append(CHAIN)
-                n -= CHAIN
-            if n:
-                lengths.append(n)
+            if w:
+                lengths.append(len(w))
         counts.append(len(words) - before)
     return words, np.array(lengths, np.int64), np.array(counts, np.int64)
 
@@ -173,11 +171,28 @@ def fit(texts: list[str], toxic: np.ndarray, bad: set[str], rounds: int = 12, ra
     model = Model(np.zeros(BUCKETS), -5.0, np.exp(np.array([[1.0, -1.0], [0.0, 0.0]])), np.array([0.0, 0.0, -3.0]))
     if not len(texts) or not bad:
         return model
-    words, lengths, counts = chains(texts)
-    forms = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    ids = np.fromiter((forms[w] for w in words), np.int64, len(words))
-    feats = [features(w) for w in forms]
-    label = np.array([any(x in bad for x in LETTERS.findall(w.lower())) for w in forms], float)[ids]
+    # Words become numbers text by text, so that the driver never holds them all as strings.
+    forms: dict[str, int] = {}
+    parts, pieces, counts = [], [], []
+    for text in texts:
+        words, lines, n = chains([text])
+        parts.append(np.fromiter((forms.setdefault(w, len(forms)) for w in words), np.int32, len(words)))
+        pieces += [min(PIECE, size - at) for size in lines.tolist() for at in range(0, size, PIECE)]
+        counts.append(len(words))
+    ids, lengths, counts = np.concatenate(parts), np.array(pieces, np.int64), np.array(counts, np.int64)
+    if not len(ids):
+        return model
+    sizes, cols = np.zeros(len(forms), np.int32), []
+    bad_form = np.zeros(len(forms), np.float32)
+    for i, w in enumerate(forms):
+        own = np.array(features(w), np.int32)
+        sizes[i] = len(own)
+        cols.append(own)
+        bad_form[i] = any(x in bad for x in LETTERS.findall(w.lower()))
+    n_forms, cols = len(forms), np.concatenate(cols)
+    rows = np.repeat(np.arange(n_forms, dtype=np.int32), sizes)
+    forms.clear()
+    label = bad_form[ids]
     # Lines with a labelled word, and four times as many without.
     ends = np.cumsum(lengths)
     hit = np.add.reduceat(label, ends - lengths) > 0
@@ -185,22 +200,21 @@ def fit(texts: list[str], toxic: np.ndarray, bad: set[str], rounds: int = 12, ra
     rest = np.flatnonzero(~hit)
     chosen = np.sort(np.concatenate([np.flatnonzero(hit), rng.permutation(rest)[: 4 * hit.sum() + 100]]))
     pick = np.concatenate([np.arange(ends[i] - lengths[i], ends[i]) for i in chosen])
-    lens, x, y = lengths[chosen], ids[pick], label[pick]
-    rows = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    cols = np.concatenate([np.array(f) for f in feats])
+    lens, x, y = lengths[chosen], ids[pick], label[pick].astype(float)
+    del label, pick
     w, trans, bias = model.weights, np.log(model.moves), model.bias
     sw, st, sb = np.full(BUCKETS, 1e-3), np.full((2, 2), 1e-3), 1e-3
     inner = np.ones(len(x), bool)
     inner[np.cumsum(lens) - lens] = False
     prev = np.flatnonzero(inner) - 1
     for _ in range(rounds):
-        emit = np.bincount(rows, w[cols], len(feats)) + bias
+        emit = np.bincount(rows, w[cols], n_forms) + bias
         odds = np.exp(np.clip(emit, -25, 25))[x]
         moves = np.exp(trans)
         fwd, back = forward_backward(odds, lens, moves)
         post = np.minimum(fwd * back, RATIO)
         p = post / (1 + post)
-        err = np.bincount(x, y - p, len(feats))
+        err = np.bincount(x, y - p, n_forms)
         g = np.bincount(cols, err[rows], BUCKETS) - 1e-3 * w
         sw += g * g
         w = w + rate * g / np.sqrt(sw)
@@ -213,9 +227,24 @@ def fit(texts: list[str], toxic: np.ndarray, bad: set[str], rounds: int = 12, ra
         st += gt * gt
         trans = trans + rate * gt / np.sqrt(st)
     model = Model(w.astype(np.float32), float(bias), np.exp(trans), model.curve)
-    scores = Scores(model.weights, model.bias)
-    post = marginals(np.fromiter(map(scores.__getitem__, words), float, len(words)), lengths, model.moves)
-    return Model(model.weights, model.bias, model.moves, _curve(summaries(post, counts), toxic))
+    emit = np.bincount(rows, model.weights[cols], n_forms) + model.bias
+    odds = np.exp(np.clip(emit, -25, 25))
+    return Model(model.weights, model.bias, model.moves, _curve(_summaries_of(texts, ids, counts, odds, model.moves), toxic))
+
+
+def _summaries_of(texts: list[str], ids: np.ndarray, counts: np.ndarray, odds: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Summaries of the examples, whose lines are now whole, a slice of texts at a time."""
+    out, start, word = [], 0, 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BYTES // 4):
+            size += len(texts[stop])
+            stop += 1
+        n = int(counts[start:stop].sum())
+        lines = np.array([len(w) for t in texts[start:stop] for line in t.split("\n") if (w := line.split())], np.int64)
+        out.append(summaries(marginals(odds[ids[word : word + n]], lines, moves), counts[start:stop]))
+        start, word = stop, word + n
+    return np.concatenate(out)
 
 
 def pair_marginals(fwd: np.ndarray, back: np.ndarray, odds: np.ndarray, moves: np.ndarray, prev: np.ndarray) -> np.ndarray:
@@ -275,10 +304,19 @@ def scored(df: DataFrame, model: Model, text: str = "text", threshold: float = 0
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         scores = Scores(m.weights, m.bias)
-        for texts in batches:
-            if len(scores) > CACHE_WORDS:
-                scores.clear()
-            yield tag_texts(texts.tolist(), m, scores)
+        for batch in batches:
+            texts = batch.tolist()
+            ends = np.cumsum([len(t) if t else 0 for t in texts])
+            done, start = [], 0
+            # A slice of texts at a time, one text at least, so that words held do not depend on the batch.
+            while start < len(texts) or not done:
+                if len(scores) > CACHE_WORDS:
+                    scores.clear()
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + BYTES, "right")))
+                done.append(tag_texts(texts[start:stop], m, scores))
+                start = stop
+            yield pd.concat(done, ignore_index=True)
 
     made = free_name(kept, "llm_tag")
     out = kept.withColumn(made, F.pandas_udf(tag, kind)(F.col(text)))

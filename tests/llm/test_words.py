@@ -11,12 +11,84 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from statmart.llm import align, queries, secrets, variants
+from statmart.llm import align, bpe, decontaminate, queries, secrets, suffix_dedup, toxicity, variants
 
 A, B = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 SMALL = "/root/testdata/sf0.001"
 
 
+# -- the older operators' edges ---------------------------------------------------------
+
+def test_encoder_knows_the_librarys_letters():
+    """Every code point of the planes that have any, between letters and digits, as the library cuts it."""
+    import struct
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.Encoder(path)
+    points = [c for c in [*range(0x20, 0x34000), *range(0xE0000, 0xE0200)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b{chr(c)}{chr(c)} 1{chr(c)}2" for c in points]
+    for t, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(t)[0] == struct.pack(f"<{len(want.ids)}I", *want.ids), t
+        own.cache.clear()
+        own.seen.clear()
+
+
+def test_clashing_names(spark):
+    text = "the same long passage of words stands in two rows of the table and is over a hundred bytes long in all " * 2
+    rows = [(1, text, "d", "t", "w", "r", "x", "i"), (2, "some " + text, "d", "t", "w", "r", "x", "i"), (3, None, "d", "t", "w", "r", "x", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, doc string, th string, wants string, ranges string, llm_t string, ids string")
+    out = {r.doc_id: r for r in suffix_dedup.repeats_removed(df).collect()}
+    assert out[2].n_removed > 200 > out[1].n_removed and out[3].n_bytes == 0
+    assert all((r.doc, r.th, r.wants, r.ranges, r.llm_t, r.ids) == ("d", "t", "w", "r", "x", "i") for r in out.values())
+    coded = bpe.encoded(df, public_tokenizers.path("word_bpe_49k.json"), ids="tok")
+    assert {c for r in coded.collect() for c in [r.ids]} == {"i"} and coded.columns[-1] == "tok"
+
+
+def test_long_lines_are_one_chain():
+    words, lengths, counts = toxicity.chains(["a " * 1000 + "\n\nb c", None, ""])
+    assert lengths.tolist() == [1000, 2] and counts.tolist() == [1002, 0, 0] and len(words) == 1002
+
+
+def test_decontamination_by_brute_force(spark):
+    """Every window of twelve words against every window of the items."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(20 + i))) for i in range(6)]
+    docs = []
+    for i in range(80):
+        w = [rng.choice(vocab) for _ in range(50)]
+        if i % 2:
+            own = items[i % 6][1].split()
+            at = rng.randrange(len(own) - 13)
+            piece = own[at : at + rng.randint(11, 14)]
+            for j in rng.sample(range(len(piece)), rng.randint(0, 3)):
+                piece[j] = rng.choice(vocab)
+            w[10 : 10 + len(piece)] = piece
+        docs.append((i, " ".join(w)))
+
+    def found(text):
+        w, hits, spans = text.split(), set(), []
+        for item, other in items:
+            o = other.split()
+            for i in range(len(w) - 11):
+                for j in range(len(o) - 11):
+                    same = [x for x in range(12) if w[i + x] == o[j + x]]
+                    if len(same) >= 10:
+                        hits.add(item)
+                        spans.append((i + same[0], i + same[-1] + 1))
+        return sorted(hits), spans
+
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.marked(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for i, text in docs:
+        hits, spans = found(text)
+        assert got[i]["items"] == hits, i
+        words = {p for a, b in spans for p in range(a, b)}
+        assert {p for s in got[i].spans for p in range(s.start, s.end)} == words, i
+
+
 # -- alignment -------------------------------------------------------------------------
 
 def libraries():
