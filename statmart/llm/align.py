@@ -14,6 +14,7 @@ every task, and a frequent pair is one row a chunk.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -27,10 +28,12 @@ from .shared import free_name, stored
 
 #: Bytes of text that share one list of pairs.
 CHUNK = 4 << 20
-#: Segments a worker remembers, and the longest one it does.
-REMEMBERED, LONGEST = 400_000, 64
+#: Segments that a worker remembers at most between two chunks, and characters that these may have.
+REMEMBERED, CHARACTERS = 600_000, 8 << 20
 #: Segments encoded in one call.
 TOGETHER = 20_000
+#: A space beside other white space, white space at an end, or a piece's mark for a space.
+UNEVEN = re.compile(r"\s | \s|^\s|\s$|▁")
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 OUTPUTS = [*_COUNTS, "n_best", "count_sum", "groups_sha256"]
 
@@ -60,12 +63,20 @@ class Pair:
         pieces = [(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if raw else p.replace("▁", " ").encode() for p, raw in pieces]
         self.identity = self._identity([raw or self.b.is_control(i) or self.b.is_unknown(i) for i, (_, raw) in enumerate(pieces)])
-        self.a_sizes = np.array([len(x) for x in self.a_bytes])
-        self.b_sizes = np.array([len(x) for x in self.b_bytes])
-        self.known: dict[str, tuple] = {}
+        self.sizes = [np.array([len(x) for x in of], np.int64) for of in (self.a_bytes, self.b_bytes)]
+        self.names = [np.array([str(i) for i in range(len(of))], object) for of in (self.a_bytes, self.b_bytes)]
         # A piece with a space after another character would reach over the border of two segments.
         if any(" " in p.decode(errors="replace").lstrip(" ") for p, (_, raw) in zip(self.b_bytes, pieces) if not raw):
             raise ValueError("the second vocabulary has pieces that reach over a space")
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all segments: their numbers, and by number the counts, links and groups."""
+        self.place: dict[str, int] = {}
+        self.counts = np.zeros((1024, 3), np.int64)
+        self.links: list[bytes] = []
+        self.groups: list[str] = []
+        self.characters = 0
 
     def _identity(self, second: list[bool]) -> np.ndarray:
         """For each id of A the id of B with the same bytes, or -1; a plain piece goes before a byte."""
@@ -74,54 +85,77 @@ class Pair:
             of.setdefault(self.b_bytes[i], i)
         return np.array([of.get(x, -1) if x else -1 for x in self.a_bytes], np.int64)
 
-    def _aligned(self, segment: str, a: list[int], b: list[int]) -> tuple | None:
-        """(n_a, n_b, n_groups, links as a * 2^32 + b, groups as text) of a segment, None if bytes are lost."""
-        raw = segment.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-            return None
-        links, groups = [], []
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            links.append(a[i] << 32 | b[j])
-            end_a, end_b = at_a + len(self.a_bytes[a[i]]), at_b + len(self.b_bytes[b[j]])
-            if end_a <= end_b:
-                i, at_a = i + 1, end_a
-            if end_b <= end_a:
-                j, at_b = j + 1, end_b
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-        return len(a), len(b), len(groups), np.array(links, np.int64), ";".join(groups)
-
     def segments(self, text: str) -> list[str]:
-        """``text`` with a space before it, cut before each single space that a word follows."""
+        """``text`` with a space before it, cut before each single space that a word follows; that space is left off."""
+        if not UNEVEN.search(text):
+            return text.split(" ")
         out: list[str] = []
         open_, last = [], " "  # the parts of the segment that is not closed yet, its last character
         for part in text.split(" "):
             # A space before or after other white space is left where it is: tokens may reach over it.
             if open_ and part and not (part[0].isspace() or last.isspace() or last == "▁"):
-                out.append(" " + " ".join(open_))
+                out.append(" ".join(open_))
                 open_ = []
             open_.append(part)
             last = part[-1] if part else " "
-        out.append(" " + " ".join(open_))
+        out.append(" ".join(open_))
         return out
 
-    def learn(self, segments: set[str]) -> dict[str, tuple | None]:
-        """What ``segments`` are made of."""
-        new = [s for s in segments if s not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(segments)
-        found = {}
+    def learn(self, segments: set[str]) -> None:
+        """Number the segments that are new, and work out what they are made of."""
+        new = [s for s in segments if s not in self.place]
         for i in range(0, len(new), TOGETHER):
             some = new[i : i + TOGETHER]
-            a = [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
-            b = self.b.encode([s[1:] for s in some], num_threads=1)
-            found.update((s, self._aligned(s, x, y)) for s, x, y in zip(some, a, b))
-        out = {s: found[s] if s in found else self.known[s] for s in segments}
-        self.known.update((s, v) for s, v in found.items() if len(s) <= LONGEST)
-        return out
+            a = [e.ids for e in self._batch([" " + s for s in some], add_special_tokens=False)]
+            b = self.b.encode(some, num_threads=1)
+            self._align(some, a, b)
+            self.characters += sum(map(len, some))
+
+    @property
+    def _batch(self):
+        # Without offsets, which nobody reads, where the library can leave them out.
+        return getattr(self.a, "encode_batch_fast", self.a.encode_batch)
+
+    def _align(self, segments: list[str], a: list[list[int]], b: list[list[int]]) -> None:
+        """All segments laid end to end: every stretch between two token ends, of either kind, is one link."""
+        raw = [(" " + s).encode() for s in segments]
+        good = np.ones(len(raw), bool)
+        for ids, of in ((a, self.a_bytes), (b, self.b_bytes)):
+            made = [b"".join([of[i] for i in x]) for x in ids]
+            if made != raw:
+                good &= np.fromiter((x == y for x, y in zip(made, raw)), bool, len(raw))
+        ids = [np.array([i for x, g in zip(of, good) if g for i in x], np.int64) for of in (a, b)]
+        n = [np.array([len(x) if g else 0 for x, g in zip(of, good)], np.int64) for of in (a, b)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids)]
+        cuts = np.union1d(*ends)
+        at = [np.searchsorted(e, cuts) for e in ends]
+        links = (ids[0][at[0]] << 32) | ids[1][at[1]]
+        common = np.intersect1d(*ends, assume_unique=True)
+        group = np.concatenate([np.searchsorted(common, e) for e in ends])
+        segment = np.concatenate([np.repeat(np.arange(len(raw)), x) for x in n])
+        side = np.repeat([0, 1], [len(i) for i in ids])
+        order = np.argsort(group * 2 + side, kind="stable")
+        # What follows a token: its like in the group, the other side, the next group.
+        now, then = (group * 2 + side)[order], np.append((group * 2 + side)[order][1:], -1)
+        text = np.empty(2 * len(order), object)
+        text[0::2] = np.concatenate([names[i] for names, i in zip(self.names, ids)])[order] if len(order) else []
+        text[1::2] = np.where(now == then, ",", np.where(now // 2 == then // 2, "|", ";"))
+        words = text.tolist()
+        token_ends = np.cumsum(np.bincount(segment, minlength=len(raw))).tolist()
+        link_ends = np.cumsum(np.bincount(segment[: len(ids[0])][at[0]], minlength=len(raw))).tolist()
+        group_ends = segment[: len(ids[0])][np.searchsorted(ends[0], common)] if len(common) else np.zeros(0, np.int64)
+        counts = np.stack([*n, np.bincount(group_ends, minlength=len(raw))], 1)
+        counts[~good] = -1
+        first = len(self.links)
+        while first + len(raw) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.counts[first : first + len(raw)] = counts
+        flat, low, start = links.tobytes(), 0, 0
+        for i, s in enumerate(segments):
+            self.place[s] = first + i
+            self.links.append(flat[8 * low : 8 * link_ends[i]])
+            self.groups.append("".join(words[2 * start : 2 * token_ends[i] - 1]) if token_ends[i] > start else "")
+            low, start = link_ends[i], token_ends[i]
 
 
 @lru_cache(maxsize=1)
@@ -132,27 +166,29 @@ def pair(a: str, b: str) -> Pair:
 def _chunk(p: Pair, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     """For each text its counts, its groups' hash and its links (places in the pair list, occurrences); the pairs and in how many texts each is linked."""
     cut = [p.segments(t) if t else [] for t in texts]
-    known = p.learn({s for c in cut for s in c})
-    cut = [c if all(known[s] is not None for s in c) else [] for c in cut]
-    names = list({s for c in cut for s in c})
-    place = {s: i for i, s in enumerate(names)}
-    facts = [known[s] for s in names]
-    sizes = np.array([f[:3] for f in facts], np.int64).reshape(-1, 3)
-    starts = np.concatenate([[0], np.cumsum([len(f[3]) for f in facts])]).astype(np.int64)
-    links = np.concatenate([f[3] for f in facts]) if facts else np.empty(0, np.int64)
-    pairs, links = np.unique(links, return_inverse=True)
+    if len(p.place) > REMEMBERED or p.characters > CHARACTERS:
+        p.forget()
+    p.learn(set().union(*cut))
+    numbers = [np.fromiter(map(p.place.__getitem__, c), np.int64, len(c)) for c in cut]
+    numbers = [x if len(x) and p.counts[x, 0].min() >= 0 else x[:0] for x in numbers]
+    own = np.unique(np.concatenate(numbers)) if numbers else np.zeros(0, np.int64)
+    held = [p.links[i] for i in own.tolist()]
+    starts = np.zeros(len(own) + 1, np.int64)
+    np.cumsum([len(x) // 8 for x in held], out=starts[1:])
+    pairs, links = np.unique(np.frombuffer(b"".join(held), np.int64), return_inverse=True)
+    groups = p.groups
     rows, texts_with = [], np.zeros(len(pairs), np.int64)
-    for c in cut:
-        which, often = np.unique(np.fromiter(map(place.__getitem__, c), np.int64, len(c)), return_counts=True)
+    for x in numbers:
+        digest = hashlib.sha256(";".join([groups[i] for i in x.tolist()]).encode()).hexdigest() if len(x) else ""
+        which, often = np.unique(x, return_counts=True)
+        counts = often @ p.counts[which]
+        which = np.searchsorted(own, which)
         lengths = starts[which + 1] - starts[which]
         # The links of all its segments, one after the other.
-        offsets = np.repeat(starts[which] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) if len(c) else np.empty(0, np.int64)
-        held = links[offsets + np.arange(len(offsets))]
-        held, of = np.unique(held, return_inverse=True)
-        n = np.bincount(of, np.repeat(often, lengths)).astype(np.int64)
+        offsets = np.repeat(starts[which] - np.cumsum(lengths) + lengths, lengths)
+        held, of = np.unique(links[offsets + np.arange(len(offsets))], return_inverse=True)
+        n = np.bincount(of, np.repeat(often, lengths), len(held)).astype(np.int64)
         texts_with[held] += 1
-        counts = (sizes[which] * often[:, None]).sum(0)
-        digest = hashlib.sha256(";".join([known[s][4] for s in c]).encode()).hexdigest() if c else ""
         rows.append((*counts.tolist(), int(n.sum()), digest, held.astype("<u4").tobytes(), n.astype("<u4").tobytes()))
     return rows, pairs, texts_with
 
