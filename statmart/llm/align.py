@@ -29,7 +29,7 @@ from .shared import free_name, stored
 #: Bytes of text that share one list of pairs.
 CHUNK = 4 << 20
 #: Segments that a worker remembers at most between two chunks, and characters that these may have.
-REMEMBERED, CHARACTERS = 600_000, 8 << 20
+REMEMBERED, CHARACTERS = 500_000, 8 << 20
 #: Segments encoded in one call.
 TOGETHER = 20_000
 #: A space beside other white space, white space at an end, or a piece's mark for a space.
@@ -71,13 +71,29 @@ class Pair:
         self.forget()
 
     def forget(self) -> None:
-        """Drop all segments: their numbers, and by number the counts, links and groups."""
+        """Drop all segments: their numbers and, laid end to end by number, their facts, links and groups."""
         self.place: dict[str, int] = {}
-        self.counts = np.zeros((1024, 3), np.int64)
-        self.links: list[bytes] = []
-        self.groups: list[str] = []
+        #: Tokens of either kind and groups (-1: bytes are lost), and where the segment's links and groups end.
+        self.facts = np.zeros((1024, 5), np.int64)
+        self.links = np.zeros(4096, np.int64)
+        self.groups = bytearray()
         self.characters = 0
 
+    def _ends(self, numbers: np.ndarray, column: int) -> tuple[np.ndarray, np.ndarray]:
+        ends = self.facts[numbers, column]
+        return np.where(numbers > 0, self.facts[numbers - 1, column], 0), ends
+
+    def links_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of segments, one after the other, and where each segment's begin."""
+        low, high = self._ends(numbers, 3)
+        starts = np.zeros(len(numbers) + 1, np.int64)
+        np.cumsum(high - low, out=starts[1:])
+        return self.links[np.repeat(low - starts[:-1], high - low) + np.arange(starts[-1])], starts
+
+    def groups_of(self, numbers: np.ndarray) -> list[bytes]:
+        low, high = self._ends(numbers, 4)
+        return [bytes(self.groups[i:j]) for i, j in zip(low.tolist(), high.tolist())]
+
     def _identity(self, second: list[bool]) -> np.ndarray:
         """For each id of A the id of B with the same bytes, or -1; a plain piece goes before a byte."""
         of: dict[bytes, int] = {}
@@ -142,20 +158,27 @@ class Pair:
         text[1::2] = np.where(now == then, ",", np.where(now // 2 == then // 2, "|", ";"))
         words = text.tolist()
         token_ends = np.cumsum(np.bincount(segment, minlength=len(raw))).tolist()
-        link_ends = np.cumsum(np.bincount(segment[: len(ids[0])][at[0]], minlength=len(raw))).tolist()
+        link_ends = np.cumsum(np.bincount(segment[: len(ids[0])][at[0]], minlength=len(raw)))
         group_ends = segment[: len(ids[0])][np.searchsorted(ends[0], common)] if len(common) else np.zeros(0, np.int64)
         counts = np.stack([*n, np.bincount(group_ends, minlength=len(raw))], 1)
         counts[~good] = -1
-        first = len(self.links)
-        while first + len(raw) > len(self.counts):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-        self.counts[first : first + len(raw)] = counts
-        flat, low, start = links.tobytes(), 0, 0
-        for i, s in enumerate(segments):
-            self.place[s] = first + i
-            self.links.append(flat[8 * low : 8 * link_ends[i]])
-            self.groups.append("".join(words[2 * start : 2 * token_ends[i] - 1]) if token_ends[i] > start else "")
-            low, start = link_ends[i], token_ends[i]
+        said, start = [], 0
+        for end in token_ends:
+            said.append("".join(words[2 * start : 2 * end - 1]) if end > start else "")
+            start = end
+        first = len(self.place)
+        self.place.update(zip(segments, range(first, first + len(raw))))
+        while first + len(raw) > len(self.facts):
+            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
+        n_links, n_groups = self.facts[first - 1, 3:].tolist() if first else (0, 0)
+        while n_links + len(links) > len(self.links):
+            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
+        self.links[n_links : n_links + len(links)] = links
+        self.groups += "".join(said).encode()
+        new = self.facts[first : first + len(raw)]
+        new[:, :3] = counts
+        new[:, 3] = n_links + link_ends
+        new[:, 4] = n_groups + np.cumsum([len(x) for x in said])
 
 
 @lru_cache(maxsize=1)
@@ -170,19 +193,17 @@ def _chunk(p: Pair, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, n
         p.forget()
     p.learn(set().union(*cut))
     numbers = [np.fromiter(map(p.place.__getitem__, c), np.int64, len(c)) for c in cut]
-    numbers = [x if len(x) and p.counts[x, 0].min() >= 0 else x[:0] for x in numbers]
+    numbers = [x if len(x) and p.facts[x, 0].min() >= 0 else x[:0] for x in numbers]
     own = np.unique(np.concatenate(numbers)) if numbers else np.zeros(0, np.int64)
-    held = [p.links[i] for i in own.tolist()]
-    starts = np.zeros(len(own) + 1, np.int64)
-    np.cumsum([len(x) // 8 for x in held], out=starts[1:])
-    pairs, links = np.unique(np.frombuffer(b"".join(held), np.int64), return_inverse=True)
-    groups = p.groups
+    links, starts = p.links_of(own)
+    pairs, links = np.unique(links, return_inverse=True)
+    groups = p.groups_of(own)
     rows, texts_with = [], np.zeros(len(pairs), np.int64)
     for x in numbers:
-        digest = hashlib.sha256(";".join([groups[i] for i in x.tolist()]).encode()).hexdigest() if len(x) else ""
+        x = np.searchsorted(own, x)
+        digest = hashlib.sha256(b";".join([groups[i] for i in x.tolist()])).hexdigest() if len(x) else ""
         which, often = np.unique(x, return_counts=True)
-        counts = often @ p.counts[which]
-        which = np.searchsorted(own, which)
+        counts = often @ p.facts[own[which], :3]
         lengths = starts[which + 1] - starts[which]
         # The links of all its segments, one after the other.
         offsets = np.repeat(starts[which] - np.cumsum(lengths) + lengths, lengths)
@@ -248,6 +269,7 @@ def _encoded(df: DataFrame, a: str, b: str, chunk: int, names: list[str], source
             done = flush()
         if done:
             yield batch_of(done, regular.astype("<i8").tobytes())
+            p.forget()  # the worker goes on to other stages
 
     fields = [*df.select(*[F.col(f"`{n}`") for n in names]).schema.fields, StructField(label, LongType())]
     fields += [StructField(c, LongType()) for c in _COUNTS] + [StructField("groups_sha256", StringType())]
