@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statmart.operators import trades
+from statmart.operators.stats import numbered
 from statmart.plans import averages as av
 from statmart.plans import combined as cb
 from statmart.plans import fantasy as fa
@@ -69,7 +71,8 @@ class Domain:
         return pr.players_processed(self.players_combined(), self.teams_processed())
 
     def base_lazy(self) -> DataFrame:
-        return fa.base_stats(self.players_processed())
+        # A player's own statistics take nothing from the team's row, of which a game has one.
+        return fa.base_stats(pr.player_facts(self.players_combined()))
 
     def base(self) -> DataFrame:
         return self._keep("base", self.base_lazy)
@@ -99,9 +102,7 @@ class Domain:
         return fa.weekly_stats(self.base(), self.season())
 
     def season_final(self) -> DataFrame:
-        return fa.season_final(
-            self.averages_current(), self.z_averages(), self.cumulative(), self.z_cumulative(), self.season()
-        )
+        return fa.season_sheet(self.base(), self.season())
 
     def overall(self) -> DataFrame:
         return fa.z_overall_current(self.z_cumulative(), self.z_averages(), self.z_last10())
@@ -120,6 +121,11 @@ def _q(build: Callable[[Domain], DataFrame]) -> Callable[[SparkSession, str], Da
     return lambda spark, sf: tidy(build(Domain(spark, sf)))
 
 
+def _positions(df: DataFrame) -> DataFrame:
+    """Number the rows as they lie, so that their order can be compared."""
+    return numbered(df.withColumn("__at", F.monotonically_increasing_id()), [F.col("__at")], "position").drop("__at")
+
+
 COMBINED_TEAM = "gameId gameDate teamTricode seasonId teamId teamName teamCity matchup winLoss".split()
 COMBINED_TEAM_NUM = ["plusMinus", "line", "overUnder", "minutes", *m.TEAM_MEASURES]
 COMBINED_PLAYER = (
@@ -162,6 +168,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_performance_delta": _q(lambda d: fa.performance_delta(d.base(), d.averages())),
     "mart_player_z_with_last10": _q(lambda d: d.player_z()),
     "mart_ranked_season": _q(lambda d: sv.ranked(d.z_averages(), d.season())),
+    "mart_ranked_positions": _q(lambda d: _positions(sv.ranked(d.z_averages(), d.season()))),
+    "mart_player_z_positions": _q(lambda d: _positions(d.player_z()).select("personId", "seasonId", "totalZ", "position")),
+    "mart_week_positions": _q(lambda d: _positions(sv.week_directory(d.weekly())).select("seasonWeekId", "position")),
     "mart_ranked_last10_top": _q(lambda d: sv.ranked(d.z_last10(), d.season(), 500)),
     "mart_season_ranks": _q(lambda d: sv.season_ranks(d.season_final(), 22025)),
     "mart_week_leaders": _q(lambda d: sv.category_leaders(d.weekly())),
@@ -173,7 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_season_log": _q(lambda d: select_season_log(d.raw("log_table"), 2024)),
     "mart_missing_games": _q(
         lambda d: rc.missing_games(
-            d.raw("log_table"), d.raw("teams_misc").filter("teamtricode < 'T5'"), d.raw("players_misc")
+            d.raw("log_table"), d.raw("teams_misc").withColumn("gameid", F.expr("CASE WHEN teamtricode < 'T5' THEN gameid END")), d.raw("players_misc")
         )
     ),
     "mart_stored_games": _q(lambda d: rc.stored_games(d.raw("players_misc"), d.raw("log_table"), "22025")),
@@ -272,6 +281,20 @@ ORACLES: dict[str, str] = {
     "mart_performance_delta": q.final("performance_delta", q.DELTA_KEEP, q.DELTA_NUM),
     "mart_player_z_with_last10": q.final("player_z", [*Z_PLAIN, "gameDate"], [*Z_NUM, "last_10_z"]),
     "mart_ranked_season": _ranked("z_averages", "z_averages"),
+    "mart_ranked_positions": q.model_sql(
+        "z_averages",
+        f"SELECT RANK() OVER (ORDER BY totalZ DESC) AS player_rank, firstName, familyName, {', '.join(r(c) for c in ['totalZ', *fa.Z_NAMES])}, "
+        "ROW_NUMBER() OVER (ORDER BY z_averages.totalZ DESC, personId) AS position FROM z_averages "
+        "WHERE totalZ IS NOT NULL AND seasonId = (SELECT seasonId FROM current_season)",
+    ),
+    "mart_player_z_positions": q.model_sql(
+        "player_z",
+        f"SELECT personId, seasonId, {r('totalZ')}, ROW_NUMBER() OVER (ORDER BY player_z.totalZ DESC NULLS LAST, personId) AS position FROM player_z",
+    ),
+    "mart_week_positions": q.model_sql(
+        "weekly_stats",
+        "SELECT seasonWeekId, ROW_NUMBER() OVER (ORDER BY seasonId, weekNumber) AS position FROM (SELECT DISTINCT seasonId, weekNumber, seasonWeekId FROM weekly_stats)",
+    ),
     "mart_ranked_last10_top": _ranked("z_last10", "z_last10") + " ORDER BY z_last10.totalZ DESC LIMIT 500",
     "mart_season_ranks": q.model_sql(
         "season_final",
@@ -311,7 +334,7 @@ ORACLES: dict[str, str] = {
     "mart_season_log": f"WITH {raw_ctes()} SELECT * FROM log_table WHERE (season_id = '22024' AND left(game_id, 3) = '002') "
     "OR (season_id = '42024' AND left(game_id, 3) = '004') OR (season_id = '62024' AND left(game_id, 3) = '006')",
     "mart_missing_games": f"WITH {raw_ctes()} SELECT game_id AS gameid FROM log_table EXCEPT "
-    "(SELECT gameid FROM teams_misc WHERE teamtricode < 'T5' INTERSECT SELECT gameid FROM players_misc)",
+    "(SELECT CASE WHEN teamtricode < 'T5' THEN gameid END FROM teams_misc INTERSECT SELECT gameid FROM players_misc)",
     "mart_stored_games": f"WITH {raw_ctes()} SELECT DISTINCT gameid FROM players_misc "
     "WHERE gameid IN (SELECT game_id FROM log_table WHERE season_id = '22025')",
     "mart_player_map": q.model_sql(

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from statmart.functions import casts, dates, scoring, text
 from statmart.operators import joins, nested, resolve, series, sets, stats, trades, upsert
+from statmart.plans import rosters
 from statmart.plans.combined import team_totals
+from statmart.session import materialise
 
+from . import models_sql as q
 from .inputs import F1, F2, F3, F4, F5, derive, duck, r, table, tidy
 
 QUERIES: dict = {}
@@ -74,7 +77,7 @@ def current_means(df: DataFrame) -> DataFrame:
     digits=8,
 )
 def season_z_ranking(spark, sf):
-    z = stats.zscores(current_means(f1(spark, sf)), {f"z_{c}": f"m_{c}" for c in MEASURES}, ["season_id"])
+    z = stats.zscores(materialise(current_means(f1(spark, sf)), "current-means"), {f"z_{c}": f"m_{c}" for c in MEASURES}, ["season_id"])
     total = z.withColumn("total_z", F.round(scoring.total_of([f"z_{c}" for c in MEASURES]), 8))
     ranked = stats.rank_desc(total.filter("total_z IS NOT NULL"), "total_z", ["season_id"], rank="player_rank")
     return ranked.select("season_id", "person_id", "first_name", "family_name", "total_z", "player_rank")
@@ -315,10 +318,9 @@ def team_record(spark, sf):
 
 @register(
     "vs_opponent",
-    f"""{WITH2}, o AS (SELECT *, regexp_replace(matchup, '.*(vs\\.|@) ', '') AS opponent FROM f2)
-    SELECT game_id, team_id, opponent, matchup LIKE '% vs. %' AS home,
-    CASE WHEN matchup LIKE '%vs.%' THEN trim(split_part(matchup, 'vs.', 1)) ELSE trim(split_part(matchup, '@', 2)) END AS home_team,
-    CASE WHEN matchup LIKE '%vs.%' THEN trim(split_part(matchup, 'vs.', 2)) ELSE trim(split_part(matchup, '@', 1)) END AS away_team,
+    f"""{WITH2}, o AS (SELECT *, {q.SIDES.format(m='matchup')}[2] AS opponent FROM f2)
+    SELECT game_id, team_id, opponent, contains(matchup, ' vs. ') AS home,
+    {q.side_sql('matchup', "contains(matchup, ' vs. ')", True)} AS home_team, {q.side_sql('matchup', "contains(matchup, ' vs. ')", False)} AS away_team,
     CAST(SUM(CASE WHEN win_loss = 'W' THEN 1 ELSE 0 END) OVER (PARTITION BY team_id, opponent, season_id ORDER BY game_date, game_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS wins_before FROM o""",
 )
@@ -354,11 +356,10 @@ def lines_join(spark, sf):
 
 @register(
     "opponent_outcomes",
-    f"""{WITH2}, {_LINED}, o AS (SELECT a.*, b.points AS opp_points, a.matchup LIKE '% vs. %' AS home FROM lined a JOIN f2 b
+    f"""{WITH2}, {_LINED}, o AS (SELECT a.*, b.points AS opp_points, contains(a.matchup, ' vs. ') AS home FROM lined a JOIN f2 b
       ON a.game_id = b.game_id AND a.team_id <> b.team_id)
-    SELECT game_id, team_id, {r('opp_points')}, CASE WHEN (home AND plus_minus > -line) OR (NOT home AND plus_minus > line) THEN 'Cover' ELSE 'No Cover' END AS cover,
-    CASE WHEN points + opp_points > total THEN 'Over' WHEN points + opp_points < total THEN 'Under' ELSE 'Push' END AS over_under,
-    CASE WHEN CAST(season_id AS VARCHAR) LIKE '4%' THEN 'PLAYOFFS' WHEN CAST(season_id AS VARCHAR) LIKE '6%' THEN 'NBA_CUP' ELSE 'REGULAR' END AS kind FROM o""",
+    SELECT game_id, team_id, {r('opp_points')}, {q.cover_sql('plus_minus', 'home', 'line')} AS cover,
+    {q.over_under_sql('points + opp_points', 'total')} AS over_under, {q.SEASON_KIND.format(s='season_id')} AS kind FROM o""",
 )
 def opponent_outcomes(spark, sf):
     other = derive(spark, sf, F2).select("game_id", F.col("team_id").alias("o_team"), F.col("points").alias("opp_points"))
@@ -414,9 +415,9 @@ def star_join_typed(spark, sf):
 
 
 _CH = {
-    "a": "SELECT CAST(o_orderkey AS STRING) AS k, CAST(o_custkey AS STRING) AS ck, CAST(o_orderkey % 10 AS STRING) AS x FROM {orders} WHERE o_orderkey % 4 <> 1",
-    "b": "SELECT CAST(l_orderkey AS STRING) AS k, CAST(COUNT(*) AS STRING) AS x FROM {lineitem} WHERE l_orderkey % 3 <> 2 GROUP BY l_orderkey",
-    "c": "SELECT CAST(l_orderkey AS STRING) AS k, CAST(MAX(l_linenumber) AS STRING) AS x FROM {lineitem} WHERE l_linenumber <= 5 GROUP BY l_orderkey",
+    "a": "SELECT CAST(o_orderkey AS STRING) AS k, CASE WHEN o_orderkey % 4 = 1 THEN 'x' ELSE '' END || CAST(o_custkey AS STRING) AS ck, CAST(o_orderkey % 10 AS STRING) AS x FROM {orders}",
+    "b": "SELECT CASE WHEN l_orderkey % 3 = 2 THEN 'x' ELSE '' END || CAST(l_orderkey AS STRING) AS k, CAST(COUNT(*) AS STRING) AS x FROM {lineitem} GROUP BY l_orderkey",
+    "c": "SELECT CAST(l_orderkey AS STRING) AS k, CAST(MAX(CASE WHEN l_linenumber BETWEEN 2 AND 5 THEN l_linenumber END) AS STRING) AS x FROM {lineitem} GROUP BY l_orderkey",
 }
 
 
@@ -598,8 +599,9 @@ def series_expanding_blocked(spark, sf):
 )
 def series_rolling_blocked(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "value", "event_type")
-    df = series.rolling_avg(ev, {"mean10": "value"}, 10, EV, EV_ORDER, "n10", block=_day(ev))
-    df = series.rolling_rate(df, "click_rate", F.col("event_type") == "click", 10, EV, EV_ORDER, block=_day(ev))
+    means = series.mean_of_last({"mean10": "value"}, 10, "n10")
+    clicks = series.rate_of_last("click_rate", F.col("event_type") == "click", 10)
+    df = series.over_rows(ev, [means, clicks], EV, EV_ORDER, back=9, block=_day(ev))
     return df.select("event_id", "mean10", "n10", "click_rate")
 
 
@@ -625,9 +627,8 @@ def series_sequence_blocked(spark, sf):
 )
 def series_neighbours_blocked(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
-    df = series.next_id(ev, "next_id", "event_id", EV, EV_ORDER, block=_day(ev))
-    df = series.previous_value(df, "prev_type", "event_type", EV, EV_ORDER, block=_day(ev))
-    df = series.days_since_prev(df, "gap_days", "ts", EV, EV_ORDER, block=_day(ev))
+    near = [series.lead_of("next_id", "event_id"), series.lag_of("prev_type", "event_type"), series.gap_days("gap_days", "ts")]
+    df = series.over_rows(ev, near, EV, EV_ORDER, back=1, ahead=1, block=_day(ev))
     return df.select("event_id", "next_id", "prev_type", "gap_days")
 
 
@@ -643,9 +644,9 @@ def trailing_days_events(spark, sf):
 
 # -- upserts ---------------------------------------------------------------------------
 
-_TGT = "tgt AS (SELECT CAST(c_custkey AS STRING) AS id, c_name AS name, c_mktsegment AS segment FROM {customer} WHERE c_custkey % 3 <> 0)"
-_BAT = """bat AS (SELECT CASE WHEN c_custkey % 10 = 4 THEN NULL ELSE CAST(c_custkey AS STRING) END AS id, upper(c_name) AS name, CAST(c_nationkey AS STRING) AS nation
-  FROM {customer} WHERE c_custkey % 2 = 0)"""
+_TGT = "tgt AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 't' ELSE '' END || CAST(c_custkey AS STRING) AS id, c_name AS name, c_mktsegment AS segment FROM {customer})"
+_BAT = """bat AS (SELECT CASE WHEN c_custkey % 10 = 4 THEN NULL WHEN c_custkey % 2 = 1 THEN 'b' || CAST(c_custkey AS STRING) ELSE CAST(c_custkey AS STRING) END AS id,
+  upper(c_name) AS name, CAST(c_nationkey AS STRING) AS nation FROM {customer})"""
 
 
 def _cte(spark, sf, cte: str) -> DataFrame:
@@ -661,7 +662,7 @@ def upsert_delete_insert(spark, sf):
     return upsert.upsert_delete_insert(_cte(spark, sf, _TGT), _cte(spark, sf, _BAT), ["id"])
 
 
-_BAT2 = "bat AS (SELECT CAST(c_custkey AS STRING) AS id, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE upper(c_name) END AS name, CAST(c_nationkey AS STRING) AS nation FROM {customer} WHERE c_custkey % 2 = 0)"
+_BAT2 = "bat AS (SELECT CASE WHEN c_custkey % 2 = 1 THEN 'b' ELSE '' END || CAST(c_custkey AS STRING) AS id, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE upper(c_name) END AS name, CAST(c_nationkey AS STRING) AS nation FROM {customer})"
 
 
 @register(
@@ -692,8 +693,11 @@ def replace_key(spark, sf):
     return upsert.replace_key(_cte(spark, sf, _TGT), _cte(spark, sf, _BAT3), "segment", "BUILDING")
 
 
-_SNAP_T = f"old AS (SELECT * FROM ({F4}) WHERE player_id % 5 <> 0 UNION ALL SELECT CAST('2024-01-29' AS DATE), fantasy_team, player_id, name FROM ({F4}))"
-_SNAP_B = f"new AS (SELECT snapshot_date, fantasy_team, player_id, upper(name) AS name FROM ({F4}) WHERE player_id % 2 = 0 UNION ALL SELECT snapshot_date, fantasy_team, player_id, name FROM ({F4}) WHERE player_id % 4 = 0)"
+_OTHER = "CASE WHEN player_id % {} = 0 THEN player_id ELSE player_id + {} END AS player_id"
+_SNAP_T = f"""old AS (SELECT snapshot_date, fantasy_team, CASE WHEN player_id % 5 = 0 THEN player_id + 1000000 ELSE player_id END AS player_id, name FROM ({F4})
+  UNION ALL SELECT CAST('2024-01-29' AS DATE), fantasy_team, player_id, name FROM ({F4}))"""
+_SNAP_B = f"""new AS (SELECT snapshot_date, fantasy_team, {_OTHER.format(2, 2000000)}, upper(name) AS name FROM ({F4})
+  UNION ALL SELECT snapshot_date, fantasy_team, {_OTHER.format(4, 3000000)}, name FROM ({F4}))"""
 _SNAP_KEYS = ["snapshot_date", "fantasy_team", "player_id"]
 
 
@@ -752,6 +756,11 @@ def union_by_name(spark, sf):
 
 
 
+def _leagues(flat: DataFrame) -> DataFrame:
+    """Roster sets of twelve players a team."""
+    return flat.withColumn("league", F.expr("player_id DIV 96"))
+
+
 @register(
     "roster_flatten",
     f"""SELECT snapshot_date, fantasy_team, player_id AS playerId, name, CASE WHEN player_id % 3 = 0 THEN true ELSE false END AS injured,
@@ -767,7 +776,7 @@ def roster_flatten(spark, sf):
         pid.alias("playerId"), "name", (pid % 3 == 0).alias("injured"), (pid % 12).alias("posRank"),
         (pid % 40 + 0.5).alias("avg_points"), F.when(pid % 6 != 0, nine).alias("nine_cat_averages"),
     )
-    docs = nested.nest_rosters(flat, "fantasy_team", player)
+    docs = nested.nest_rosters(_leagues(flat), "fantasy_team", player, ["player_id"], ["league"])
     rows = nested.flatten_rosters(nested.parse_rosters(docs), date(2024, 1, 30))
     return rows.select("snapshot_date", "fantasy_team", "playerId", "name", "injured", "posRank", "avg_points", "nine_pts", "nine_fgpct", "nine_reb")
 
@@ -777,11 +786,23 @@ def roster_flatten(spark, sf):
     f"SELECT fantasy_team AS team, CAST(player_id AS VARCHAR) AS personid FROM ({F4})",
 )
 def roster_ids_text(spark, sf):
-    docs = nested.nest_rosters(derive(spark, sf, F4), "fantasy_team", F.col("player_id"))
+    docs = nested.nest_rosters(_leagues(derive(spark, sf, F4)), "fantasy_team", F.col("player_id"), roster=["league"])
     teams = nested.parse_roster_ids(docs)
     return teams.select("team", F.explode(text.ids_as_text("ids")).alias("personid"))
 
 
+@register(
+    "roster_documents",
+    f"""WITH p AS (SELECT player_id // 96 AS league, fantasy_team AS team, player_id, '{{"playerId":' || player_id || ',"name":"' || name || '"}}' AS j FROM ({F4})),
+    t AS (SELECT league, team, '"' || team || '":[' || string_agg(j, ',' ORDER BY player_id DESC) || ']' AS line FROM p GROUP BY league, team)
+    SELECT league, '{{' || string_agg(line, ',' ORDER BY team) || '}}' AS document FROM t GROUP BY league""",
+)
+def roster_documents(spark, sf):
+    flat = _leagues(derive(spark, sf, F4)).withColumn("place", -F.col("player_id"))
+    player = F.struct(F.col("player_id").alias("playerId"), "name")
+    return nested.nest_rosters(flat, "fantasy_team", player, ["place"], ["league"]).select("league", F.col("value").alias("document"))
+
+
 @register(
     "json_props",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS DOUBLE) AS absent FROM {events}",
@@ -822,7 +843,7 @@ def _fuzzy(spark, sf, **kw) -> DataFrame:
     f"""WITH {_N5} SELECT l.left_id, l.left_name, rt.right_name AS right_name, 'exact_norm' AS match_type FROM l JOIN rt ON l.norm = rt.r_norm""",
 )
 def fuzzy_exact(spark, sf):
-    return _fuzzy(spark, sf).filter("match_type = 'exact_norm'").select("left_id", "left_name", "right_name", "match_type")
+    return _fuzzy(spark, sf, score_floor=0.92).filter("match_type = 'exact_norm'").select("left_id", "left_name", "right_name", "match_type")
 
 
 _EDIT = f"""WITH {_N5}, names AS (SELECT DISTINCT norm FROM l), sc AS (SELECT norm, right_name,
@@ -835,15 +856,70 @@ _EDIT = f"""WITH {_N5}, names AS (SELECT DISTINCT norm FROM l), sc AS (SELECT no
 
 @register("fuzzy_levenshtein", _EDIT)
 def fuzzy_levenshtein(spark, sf):
-    out = _fuzzy(spark, sf, min_score=0.8, metric=resolve.EDIT)
+    out = _fuzzy(spark, sf, min_score=0.8, metric=resolve.EDIT, score_floor=0.8)
     return out.select("left_id", "left_name", "right_name", "match_type", "match_score")
 
 
+# Names of the parts, and names that resemble them less and less.
+_FAR = """SELECT p_partkey AS left_id, p_name AS right_name, CASE WHEN p_partkey % 5 = 0 THEN replace(p_name, 'l', 'll') WHEN p_partkey % 5 = 1 THEN reverse(p_name)
+  WHEN p_partkey % 5 = 2 THEN lower(p_type) || ' ' || p_name WHEN p_partkey % 5 = 3 THEN lower(p_type) ELSE substr(p_name, 1 + p_partkey % 4, 7) END AS left_name FROM {part}"""
+_FAR_N = _N5.replace(F5, _FAR).replace("f5", "far")
+
+
+@register(
+    "fuzzy_best_score",
+    f"""WITH {_FAR_N}, names AS (SELECT DISTINCT norm FROM l), sc AS (SELECT norm, right_name, norm = r_norm AS same,
+    1.0 - CAST(levenshtein(norm, r_norm) AS DOUBLE) / greatest(length(norm), length(r_norm), 1) AS score FROM names, rt),
+    best AS (SELECT * FROM sc QUALIFY ROW_NUMBER() OVER (PARTITION BY norm ORDER BY same DESC, score DESC, right_name) = 1)
+    SELECT left_id, left_name, CASE WHEN score >= 0.8 - 1e-9 THEN b.right_name END AS right_name,
+    CASE WHEN same THEN 'exact_norm' WHEN score >= 0.8 - 1e-9 THEN 'fuzzy_norm' ELSE 'unmatched' END AS match_type, {r('b.score', 'match_score')},
+    NOT same AND score >= 0.8 - 1e-9 AND score < 0.92 AS needs_review FROM l JOIN best b ON l.norm = b.norm""",
+)
+def fuzzy_best_score(spark, sf):
+    far = derive(spark, sf, _FAR)
+    rights = far.select("right_name").distinct().withColumn("rid", F.col("right_name"))
+    out = resolve.fuzzy_match(far, rights, "left_id", "left_name", "rid", "right_name", 0.8, resolve.EDIT)
+    return resolve.with_review_flag(out).select("left_id", "left_name", "right_name", "match_type", "match_score", "needs_review")
+
+
 @register("fuzzy_ratio")
 def fuzzy_ratio(spark, sf):
     return resolve.with_review_flag(_fuzzy(spark, sf, min_score=0.92, score_floor=0.6))
 
 
+# Players whose names are letters, as the games know them, and as a roster writes them.
+_LETTERS = "translate(CAST({} AS STRING), '0123456789', 'abdefgilno')"
+_NAMED = f"""named AS (SELECT user_id AS "personId", CAST(ts AS DATE) AS "gameDate", event_id AS "gameId",
+    'Pla' || {_LETTERS.format("user_id * 31")} || CASE WHEN day(ts) > 15 THEN 'ck' ELSE '' END AS "firstName",
+    CASE WHEN user_id % 50 = 49 THEN NULL ELSE 'Fam' || {_LETTERS.format("user_id * 7919 % 10007")} END AS "familyName" FROM {{events}})"""
+_ROSTER = f"""roster AS (SELECT "playerId", CASE WHEN "playerId" % 5 = 0 THEN n WHEN "playerId" % 5 = 1 THEN upper(n) || ' Jr.' WHEN "playerId" % 5 = 2 THEN replace(n, 'e', 'é')
+    WHEN "playerId" % 5 = 3 THEN substr(n, 1, length(n) - 1) ELSE 'Guest ' || n END AS name
+  FROM (SELECT DISTINCT user_id AS "playerId", 'Pla' || {_LETTERS.format("user_id * 31")} || 'ck Fam' || {_LETTERS.format("user_id * 7919 % 10007")} AS n FROM {{events}}) AS t)"""
+
+
+def _spark_names(sql: str) -> str:
+    return sql.replace('"', "`")
+
+
+@register(
+    "player_map_named",
+    f"""WITH {_NAMED}, {_ROSTER}, latest AS (SELECT CAST("personId" AS VARCHAR) AS personid, trim("firstName" || ' ' || "familyName") AS nba_name FROM named
+      WHERE "familyName" IS NOT NULL QUALIFY row_number() OVER (PARTITION BY "personId" ORDER BY "gameDate" DESC, "gameId" DESC) = 1),
+    rt AS (SELECT {_NORM.format(c='nba_name')} AS r_norm, min(personid) AS personid, arg_min(nba_name, personid) AS nba_name FROM latest GROUP BY ALL),
+    l AS (SELECT CAST("playerId" AS VARCHAR) AS espn_player_id, name AS espn_name, {_NORM.format(c='name')} AS norm FROM roster),
+    sc AS (SELECT norm, personid, nba_name, norm = r_norm AS same, 1.0 - CAST(levenshtein(norm, r_norm) AS DOUBLE) / greatest(length(norm), length(r_norm)) AS score
+      FROM (SELECT DISTINCT norm FROM l), rt),
+    best AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY norm ORDER BY score DESC, personid) = 1)
+    SELECT espn_player_id, CASE WHEN score >= 0.85 - 1e-9 THEN personid END AS personid, CASE WHEN same THEN 'exact_norm' WHEN score >= 0.85 - 1e-9 THEN 'fuzzy_norm' ELSE 'unmatched' END AS match_type,
+    {r('score', 'match_score')}, espn_name, CASE WHEN score >= 0.85 - 1e-9 THEN nba_name END AS nba_name, NOT same AND score >= 0.85 - 1e-9 AND score < 0.95 AS needs_review
+    FROM l JOIN best USING (norm)""",
+)
+def player_map_named(spark, sf):
+    named = derive(spark, sf, _spark_names(f"WITH {_NAMED} SELECT * FROM named"))
+    roster = derive(spark, sf, _spark_names(f"WITH {_ROSTER} SELECT * FROM roster"))
+    return rosters.player_map(roster, named, 0.85, review_below=0.95, metric=resolve.EDIT).drop("created_at")
+
+
 _INDEX = """SELECT p_partkey AS id, p_name AS name, p_retailprice AS total FROM {part}"""
 
 

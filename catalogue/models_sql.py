@@ -97,19 +97,34 @@ def _teams_processed() -> str:
       CAST({hit.format('L')} OVER ({vs}) AS BIGINT) AS lossesVsOpponent, {extra} FROM outc t"""
 
 
-OUTCOMES = r"""SELECT a.*, b.points AS opponentPoints,
-  CASE WHEN a.line IS NULL THEN NULL WHEN a.homeGame AND a.scoreDiff > -a.line THEN 'Cover'
-       WHEN NOT a.homeGame AND a.scoreDiff > a.line THEN 'Cover' ELSE 'No Cover' END AS coverResult,
-  CASE WHEN a.overUnder IS NULL THEN NULL WHEN a.points + b.points > a.overUnder THEN 'Over'
-       WHEN a.points + b.points < a.overUnder THEN 'Under' ELSE 'Push' END AS overUnderResult
-  FROM venue a JOIN teams_combined b ON a.gameId = b.gameId AND a.teamId <> b.teamId"""
-
-VENUE = r"""SELECT *, CASE left(CAST(seasonId AS VARCHAR), 1) WHEN '4' THEN 'PLAYOFFS' WHEN '6' THEN 'NBA_CUP' ELSE 'REGULAR' END AS seasonType,
-  COALESCE(plusMinus, 0) AS scoreDiff, matchup LIKE '% vs. %' AS homeGame,
-  CASE WHEN matchup LIKE '%vs.%' THEN trim(split_part(matchup, 'vs.', 1)) ELSE trim(split_part(matchup, '@', 2)) END AS homeTeam,
-  CASE WHEN matchup LIKE '%vs.%' THEN trim(split_part(matchup, 'vs.', 2)) ELSE trim(split_part(matchup, '@', 1)) END AS awayTeam,
-  regexp_replace(matchup, '.*(vs\.|@) ', '') AS opponentTricode
-  FROM teams_combined"""
+def cover_sql(margin: str, home: str, line: str) -> str:
+    """A side covers if its margin and the line, which is the home side's, add up to more than nothing."""
+    return f"['No Cover', 'No Cover', 'Cover'][2 + CAST(sign({margin} + {line} * (2 * CAST({home} AS INTEGER) - 1)) AS INTEGER)]"
+
+
+def over_under_sql(points: str, bar: str) -> str:
+    """Which side of the bar the points are; unknown points are on neither, without a bar there is no side."""
+    return f"['Under', 'Push', 'Over'][CAST({bar} * 0 + 2 + coalesce(sign({points} - {bar}), 0) AS INTEGER)]"
+
+
+#: A match-up names the own side first; the marker between the two says who is at home.
+SIDES = r"string_split_regex({m}, ' *(vs\.|@) *')"
+
+
+def side_sql(matchup: str, own_is_home: str, home: bool) -> str:
+    sides = SIDES.format(m=matchup)
+    return f"{sides}[CASE WHEN {own_is_home} = {str(home).lower()} THEN 1 ELSE 2 END]"
+
+
+SEASON_KIND = "coalesce(MAP {{'4': 'PLAYOFFS', '6': 'NBA_CUP'}}[left(CAST({s} AS VARCHAR), 1)], 'REGULAR')"
+
+VENUE = f"""SELECT *, {SEASON_KIND.format(s='seasonId')} AS seasonType, coalesce(plusMinus, 0) AS scoreDiff,
+  {side_sql('matchup', 'homeGame', True)} AS homeTeam, {side_sql('matchup', 'homeGame', False)} AS awayTeam, {SIDES.format(m='matchup')}[2] AS opponentTricode
+  FROM (SELECT *, contains(matchup, ' vs. ') AS homeGame FROM teams_combined)"""
+
+OUTCOMES = f"""SELECT own.*, other.points AS opponentPoints, {cover_sql('own.scoreDiff', 'own.homeGame', 'own.line')} AS coverResult,
+  {over_under_sql('own.points + other.points', 'own.overUnder')} AS overUnderResult
+  FROM venue own JOIN teams_combined other ON own.gameId = other.gameId AND own.teamId <> other.teamId"""
 
 LINES = """SELECT g.game_id AS gameId, TRY_CAST(g.game_date AS DATE) AS gameDate, g.team_abbreviation AS teamTricode,
   x.line AS line, x.total AS ou

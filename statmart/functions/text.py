@@ -100,34 +100,35 @@ def ids_as_text(c: str | Column) -> Column:
 NAME_SUFFIXES = ["jr", "sr", "ii", "iii", "iv", "v"]
 
 
-def _latin_folds() -> tuple[str, str, dict[str, str]]:
-    """Compatibility folds of the Latin blocks: one-letter folds and longer ones."""
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Compatibility folds of all code points to ASCII: one-letter folds and longer ones."""
     source, target, longer = [], [], {}
-    blocks = [range(0xA0, 0x250), range(0x1E00, 0x1F00), range(0xFB00, 0xFB07)]
-    for code in (code for block in blocks for code in block):
-        char = chr(code)
-        folded = "".join(
-            x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x)
-        )
-        if folded == char or not folded.isascii():
+    for char in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]):
+        plain = unicodedata.normalize("NFKD", char)
+        if plain == char:
+            continue
+        folded = "".join(x for x in plain if not unicodedata.combining(x))
+        if not folded.isascii() or not folded:
             continue
         if len(folded) == 1:
             source.append(char)
             target.append(folded)
-        elif folded.strip():
+        else:
             longer[char] = folded
     return "".join(source), "".join(target), longer
 
 
-_FOLD_FROM, _FOLD_TO, _FOLD_LONG = _latin_folds()
-_FOLD_LONG = {k: v for k, v in _FOLD_LONG.items() if v.isalpha() and v == v.lower()}
+_FOLD_FROM, _FOLD_TO, _FOLD_LONG = _folds()
 
 
 def fold_accents(c: str | Column) -> Column:
-    """Strip accents from Latin letters; letters without a base letter stay."""
+    """Letters and marks of any script to the ASCII they are variants of; others stay, accents go."""
     out = F.translate(col_of(c), _FOLD_FROM, _FOLD_TO)
-    for char, plain in _FOLD_LONG.items():
-        out = F.replace(out, F.lit(char), F.lit(plain))
+    # Few texts hold a letter that unfolds to several: only these are taken apart.
+    table = F.create_map(*[F.lit(x) for pair in _FOLD_LONG.items() for x in pair])
+    letters = F.regexp_extract_all(out, F.lit("(?s)."), F.lit(0))
+    unfolded = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    out = F.when(out.rlike(f"[{''.join(_FOLD_LONG)}]"), unfolded).otherwise(out)
     return F.regexp_replace(out, r"\p{M}+", "")
 
 

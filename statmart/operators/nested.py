@@ -70,15 +70,26 @@ def parse_roster_ids(df: DataFrame, c: str = "value") -> DataFrame:
     return df.select(F.explode(F.from_json(c, ROSTER_IDS)).alias("team", "ids"))
 
 
-def nest_rosters(df: DataFrame, team: str, player: Column, chunk_rows: int = 1000) -> DataFrame:
-    """JSON lines ``{team: [player, ...]}`` from flat rows.
+def nest_rosters(df: DataFrame, team: str, player: Column, order: list[str] = (), roster: list[str] = ()) -> DataFrame:
+    """One JSON document ``{team: [player, ...], ...}`` per roster set, from flat rows.
 
-    A team may take several lines of at most ``chunk_rows`` players each, so no group
-    grows with the data: consecutive row ids of one input partition form a chunk.
-    Flattening reads the lines back as one set of rows.
+    ``roster`` names the columns that tell sets apart (they are kept); a set is one document by its
+    nature and its size bounds the group. Players stand in ``order`` (ties by the player's own
+    values) and teams by name, so a document does not depend on how the rows were dealt. Two
+    stages: players into teams, then teams into documents. Rows without a team are left out.
     """
-    chunk = F.floor(F.monotonically_increasing_id() / chunk_rows)
-    marked = df.select(F.col(team).alias("__team"), player.alias("__p"), chunk.alias("__chunk"))
-    grouped = marked.groupBy("__team", "__chunk").agg(F.collect_list("__p").alias("__ps"))
-    pair = F.struct(F.col("__team").alias("key"), F.col("__ps").alias("value"))
-    return grouped.select(F.to_json(F.map_from_entries(F.array(pair))).alias("value"))
+    # Players become text first: any value can then be sorted and put into a document.
+    entry = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], _json(player).alias("p"))
+    marked = df.filter(F.col(team).isNotNull()).select(*roster, F.col(team).cast("string").alias("__team"), entry.alias("__e"))
+    teams = marked.groupBy(*roster, "__team").agg(F.sort_array(F.collect_list("__e")).alias("__ps"))
+    players = F.array_join(F.transform("__ps", lambda e: e["p"]), ",")
+    lines = F.struct("__team", F.concat(_json(F.col("__team")), F.lit(":["), players, F.lit("]")).alias("line"))
+    sets = teams.groupBy(*roster).agg(F.sort_array(F.collect_list(lines)).alias("__ts"))
+    document = F.concat(F.lit("{"), F.array_join(F.transform("__ts", lambda t: t["line"]), ","), F.lit("}"))
+    return sets.filter(F.size("__ts") > 0).select(*roster, document.alias("value"))
+
+
+def _json(c: Column) -> Column:
+    """Any value as JSON text."""
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)

@@ -22,10 +22,9 @@ from statmart.functions.casts import col_of
 from statmart.functions.text import normalize_name, normalize_name_basic
 from statmart.session import materialise
 
+from .closest import EPS, closest, edit_score
 from .series import latest_per
 
-EPS = 1e-9
-
 
 def _ratio_udf():
     # A local function travels to the workers whole, so they need no copy of this package.
@@ -52,12 +51,6 @@ def similarity(a: str | Column, b: str | Column) -> Column:
     return _ratio_udf()(col_of(a), col_of(b))
 
 
-def edit_score(a: str, b: str) -> Column:
-    """1 minus edit distance over the longer length."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.lit(1.0) - F.levenshtein(F.col(a), F.col(b)) / longest
-
-
 @dataclass(frozen=True)
 class Metric:
     """A score with the bounds that make candidate search lossless, as SQL text.
@@ -164,6 +157,20 @@ def best_candidates(left: DataFrame, right: DataFrame, t: float, m: Metric) -> D
     )
 
 
+def _down_to(open_names: DataFrame, rights: DataFrame, min_score: float, floor: float, m: Metric) -> DataFrame:
+    """The best right name of each name by falling thresholds; only what one leaves open meets the next."""
+    rounds = [min_score] + [t for t in (0.75,) if floor < t < min_score]
+    rounds += [floor] if floor < rounds[-1] else []
+    found = None
+    for i, t in enumerate(rounds):
+        best = best_candidates(open_names, rights, t, m)
+        if i + 1 < len(rounds):
+            best = materialise(best, "name-round")
+            open_names = open_names.join(best.select("norm"), "norm", "left_anti")
+        found = best if found is None else found.unionByName(best)
+    return found
+
+
 def fuzzy_match(
     left: DataFrame,
     right: DataFrame,
@@ -177,9 +184,10 @@ def fuzzy_match(
 ) -> DataFrame:
     """One row per left row: exact on the normalised name, else the best at ``min_score`` or above.
 
-    Unmatched rows carry their best score down to ``score_floor`` (default
-    ``min_score``, i.e. none). A lower floor is exact as well but looks at more pairs;
-    0.0 reports every unmatched row's best score.
+    Every unmatched row carries its best score. With the edit score that is the default
+    and comes from :func:`closest.closest`; a ``score_floor`` leaves out scores below it.
+    The ratio has no bound that falls with every probe, so it forms candidate pairs down
+    to ``score_floor``: by default 0.0, which looks at every pair with a letter in common.
     """
     lefts = left.select(
         F.col(left_id).alias("left_id"), F.col(left_name).alias("left_name"),
@@ -196,16 +204,11 @@ def fuzzy_match(
     )
     open_names = names.join(rights.select(F.col("r_norm").alias("norm")), "norm", "left_anti")
 
-    floor = min_score if score_floor is None else score_floor
-    rounds = [min_score] + [t for t in (0.75,) if floor < t < min_score]
-    rounds += [floor] if floor < rounds[-1] else []
-    found = None
-    for i, t in enumerate(rounds):
-        best = best_candidates(open_names, rights, t, metric)
-        if i + 1 < len(rounds):
-            best = materialise(best, "name-round")
-            open_names = open_names.join(best.select("norm"), "norm", "left_anti")
-        found = best if found is None else found.unionByName(best)
+    if score_floor is None and metric.name == "edit":
+        found, floor = closest(open_names, rights, min_score), 0.0
+    else:
+        floor = score_floor or 0.0
+        found = _down_to(open_names, rights, min_score, floor, metric)
 
     accepted = F.col("score") >= F.lit(min_score) - EPS
     hits = exact.withColumn("match_type", F.lit("exact_norm")).unionByName(

@@ -139,9 +139,12 @@ def expanding_avg(
 
 # -- bounded row frames: rolling, lag, lead -----------------------------------
 
+Build = Callable[[WindowSpec], dict[str, Column]]
+
+
 def over_rows(
     df: DataFrame,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    build: Build | list[Build],
     keys: list[str],
     order: list[str | Column],
     back: int = 0,
@@ -150,13 +153,18 @@ def over_rows(
 ) -> DataFrame:
     """Columns over frames that reach at most ``back`` rows back and ``ahead`` rows on.
 
-    ``build`` gets the ordered window and returns the new columns. With ``block`` the
-    last ``back`` rows before a block and the first ``ahead`` rows after it are copied
-    into it, the window runs inside, and the copies are dropped again. ``order`` must
-    then be plain ascending column names.
+    ``build`` gets the ordered window and returns the new columns; several builders share
+    one layout. With ``block`` the last ``back`` rows before a block and the first
+    ``ahead`` rows after it are copied into it, the windows run inside, and the copies are
+    dropped again. ``order`` must then be plain ascending column names.
     """
+    builders = build if isinstance(build, list) else [build]
+
+    def built(w: WindowSpec) -> dict[str, Column]:
+        return {out: c for b in builders for out, c in b(w).items()}
+
     if block is None:
-        return df.withColumns(build(series_window(keys, order)))
+        return df.withColumns(built(series_window(keys, order)))
 
     names = [o for o in order if isinstance(o, str)]
     if len(names) != len(order):
@@ -169,7 +177,7 @@ def over_rows(
     if ahead:
         pieces.append(_border_rows(marked, payload, keys, names, ahead, forward=True))
     union = reduce(DataFrame.unionByName, pieces)
-    inside = union.withColumns(build(series_window([*keys, BLOCK], order)))
+    inside = union.withColumns(built(series_window([*keys, BLOCK], order)))
     return inside.filter(~F.col("__copy")).drop(BLOCK, "__copy")
 
 
@@ -179,8 +187,9 @@ def _border_rows(
     """Copies of the ``n`` rows next to each block, labelled with that block.
 
     Each block keeps only its outermost ``n`` rows (row number with a limit, so map
-    tasks pass on at most ``n`` rows per block). As every block has a row, ``n``
-    neighbouring blocks always suffice.
+    tasks pass on at most ``n`` rows per block) and learns from the sizes of the ``n``
+    blocks beyond it which of them still need its rows: a block needs a row if fewer than
+    ``n`` rows stand between. So a block gets ``n`` copies at most, and rows never gather.
     """
     side = [F.col(o).asc_nulls_last() if forward else F.col(o).desc_nulls_first() for o in order]
     edge = (
@@ -189,20 +198,40 @@ def _border_rows(
         .groupBy(*keys, BLOCK)
         .agg(F.collect_list(F.struct(F.col("__rn"), payload.alias("row"))).alias("__edge"))
     )
-    w = series_window(keys, [BLOCK]).rowsBetween(*((1, n) if forward else (-n, -1)))
-    near = edge.select(
-        *keys,
-        BLOCK,
-        F.collect_list(F.struct(F.col(BLOCK).alias("b"), F.col("__edge").alias("e"))).over(w).alias("__near"),
-    )
-    # Nearest block first, nearest row first within it; then the first n of all.
-    by_block = F.sort_array("__near", asc=forward)
-    rows = F.flatten(
-        F.transform(by_block, lambda x: F.transform(F.array_sort(x["e"]), lambda r: r["row"]))
+    beyond = W.partitionBy(*keys).orderBy(F.col(BLOCK).desc_nulls_first() if forward else F.col(BLOCK).asc_nulls_last())
+    sizes = F.collect_list(F.struct(F.col(BLOCK).alias("b"), F.size("__edge").alias("size"))).over(beyond.rowsBetween(1, n))
+    between = lambda i: F.aggregate(F.slice("__sizes", F.lit(1), i), F.lit(0), lambda total, x: total + x["size"])
+    targets = F.transform("__sizes", lambda x, i: F.struct(x["b"].alias("b"), between(i).alias("between")))
+    wanted = edge.withColumn("__sizes", sizes).select(*keys, "__edge", F.explode(F.filter(targets, lambda t: t["between"] < n)).alias("__t"))
+    rows = F.filter("__edge", lambda r: r["__rn"] + F.col("__t.between") <= n)
+    return wanted.select(*keys, F.col("__t.b").alias(BLOCK), F.explode(rows).alias("__r"), F.lit(True).alias("__copy")).select(
+        *keys, BLOCK, "__r.row.*", "__copy"
     )
-    return near.select(
-        *keys, BLOCK, F.explode(F.slice(rows, 1, n)).alias("__row"), F.lit(True).alias("__copy")
-    ).select(*keys, BLOCK, "__row.*", "__copy")
+
+
+def mean_of_last(cols: dict[str, str | Column], n: int, count_as: str | None = None) -> Build:
+    """Builder: mean over the last ``n`` rows; ``count_as`` adds how many rows the frame held."""
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        frame = w.rowsBetween(-(n - 1), 0)
+        out = {o: F.avg(col_of(c)).over(frame) for o, c in cols.items()}
+        if count_as:
+            out[count_as] = F.count(F.lit(1)).over(frame)
+        return out
+
+    return build
+
+
+def rate_of_last(out: str, cond: Column, n: int, digits: int = 3) -> Build:
+    """Builder: share of the last ``n`` rows (or all so far, if fewer) that meet ``cond``."""
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        frame = w.rowsBetween(-(n - 1), 0)
+        hits = F.sum(F.when(cond, 1).otherwise(0)).over(frame).cast("double")
+        # Inside the frame the row count is min(n, position in the series).
+        return {out: F.round(hits / F.least(F.lit(n), F.count(F.lit(1)).over(frame)), digits)}
+
+    return build
 
 
 def rolling_avg(
@@ -215,15 +244,7 @@ def rolling_avg(
     block: Column | None = None,
 ) -> DataFrame:
     """Mean over the last ``n`` rows; ``count_as`` adds how many rows the frame held."""
-
-    def build(w: WindowSpec) -> dict[str, Column]:
-        frame = w.rowsBetween(-(n - 1), 0)
-        out = {o: F.avg(col_of(c)).over(frame) for o, c in cols.items()}
-        if count_as:
-            out[count_as] = F.count(F.lit(1)).over(frame)
-        return out
-
-    return over_rows(df, build, keys, order, back=n - 1, block=block)
+    return over_rows(df, mean_of_last(cols, n, count_as), keys, order, back=n - 1, block=block)
 
 
 def require_full(df: DataFrame, count_col: str, n: int) -> DataFrame:
@@ -242,21 +263,27 @@ def rolling_rate(
     block: Column | None = None,
 ) -> DataFrame:
     """Share of the last ``n`` rows (or all so far, if fewer) that meet ``cond``."""
+    return over_rows(df, rate_of_last(out, cond, n, digits), keys, order, back=n - 1, block=block)
+
+
+def lag_of(out: str, c: str) -> Build:
+    return lambda w: {out: F.lag(c).over(w)}
+
+
+def lead_of(out: str, c: str) -> Build:
+    return lambda w: {out: F.lead(c).over(w)}
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        frame = w.rowsBetween(-(n - 1), 0)
-        hits = F.sum(F.when(cond, 1).otherwise(0)).over(frame).cast("double")
-        # Inside the frame the row count is min(n, position in the series).
-        return {out: F.round(hits / F.least(F.lit(n), F.count(F.lit(1)).over(frame)), digits)}
 
-    return over_rows(df, build, keys, order, back=n - 1, block=block)
+def gap_days(out: str, date: str) -> Build:
+    """Builder: days since the previous row, NULL on the first."""
+    return lambda w: {out: F.datediff(F.col(date), F.lag(date).over(w)).cast("bigint")}
 
 
 def previous_value(
     df: DataFrame, out: str, c: str, keys: list[str], order: list[str | Column],
     block: Column | None = None,
 ) -> DataFrame:
-    return over_rows(df, lambda w: {out: F.lag(c).over(w)}, keys, order, back=1, block=block)
+    return over_rows(df, lag_of(out, c), keys, order, back=1, block=block)
 
 
 def next_id(
@@ -264,7 +291,7 @@ def next_id(
     block: Column | None = None,
 ) -> DataFrame:
     """Id of the following row of the series, NULL on the last."""
-    return over_rows(df, lambda w: {out: F.lead(c).over(w)}, keys, order, ahead=1, block=block)
+    return over_rows(df, lead_of(out, c), keys, order, ahead=1, block=block)
 
 
 def days_since_prev(
@@ -272,8 +299,7 @@ def days_since_prev(
     block: Column | None = None,
 ) -> DataFrame:
     """Days since the previous row, NULL on the first."""
-    gap = lambda w: {out: F.datediff(F.col(date), F.lag(date).over(w)).cast("bigint")}
-    return over_rows(df, gap, keys, order, back=1, block=block)
+    return over_rows(df, gap_days(out, date), keys, order, back=1, block=block)
 
 
 def is_back_to_back(days_col: str) -> Column:

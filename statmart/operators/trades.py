@@ -1,7 +1,8 @@
 """Trade value, trade evaluation and balanced-trade search over small rosters.
 
-Rosters and pools are capped by the feature itself (20 for the open pool, 14 per
-roster), so the players fit one array and combinations come from exploding it.
+The open pool has as many players as its caller asks for (20), and a roster is a list
+of ids that its caller names, so either fits one array and combinations come from
+exploding it: n * (n - 1) / 2 pairs a side, each met with each of the other side.
 """
 
 from __future__ import annotations

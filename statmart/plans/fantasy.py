@@ -12,6 +12,7 @@ from statmart.functions.text import concat_text
 from statmart.operators import series as s
 from statmart.operators.joins import attach, current_season_only, full_outer_merge
 from statmart.operators.stats import dense_index, zscores
+from statmart.session import materialise
 
 from .averages import GAME_KEYS, ORDER
 from .measures import CATEGORIES, LAST10_NAMES, PICKUP_WEIGHTS
@@ -25,6 +26,12 @@ COUNTED = {c: short for c, (short, _) in CATEGORIES.items() if not short.endswit
 RATES = {c: short for c, (short, _) in CATEGORIES.items() if short.endswith("Pct")}
 
 
+# Names in the season sheet, in the same order.
+SNAKE = dict(
+    zip(SHORT, "minutes points assists steals blocks rebounds threes double_double efg_pct ft_pct".split())
+)
+
+
 def base_stats(players_proc: DataFrame) -> DataFrame:
     """The ten categories per player-game; free-throw share unknown without attempts."""
     return players_proc.select(
@@ -141,9 +148,7 @@ def season_final(
 ) -> DataFrame:
     """One row per player of the current season: means, totals and z-scores of both."""
     keys = ["seasonId", "personId"]
-    snake = {short: s_ for short, s_ in zip(SHORT, [
-        "minutes", "points", "assists", "steals", "blocks", "rebounds", "threes",
-        "double_double", "efg_pct", "ft_pct"])}
+    snake = SNAKE
 
     def part(df: DataFrame, tag: str, cols: dict[str, str]) -> DataFrame:
         return current_season_only(df, season).select(
@@ -177,6 +182,42 @@ def season_final(
     )
 
 
+def season_sheet(base: DataFrame, season: DataFrame) -> DataFrame:
+    """:func:`season_final` from base statistics in one grouped pass.
+
+    A player's means up to the last game played are the means of the games played, so one
+    aggregation gives means and totals together. What the z-scores need (mean and deviation
+    of every measure over the players) is one row a season, aggregated from the players.
+    """
+    played = F.col("playedFlag") == 1
+    keys = ["seasonId", "personId"]
+    last = F.max(F.when(played, F.struct(*ORDER, "firstName", "familyName")))
+    players = materialise(
+        current_season_only(base, season)
+        .groupBy(*keys)
+        .agg(
+            last.alias("__last"), F.max("firstName").alias("__first"), F.max("familyName").alias("__family"),
+            F.count_if(played).alias("gamesPlayed"),
+            *[avg_when(played, c).alias(f"avg_{SNAKE[x]}") for c, (x, _) in CATEGORIES.items()],
+            *[sum_when(played, c).alias(f"cum_{SNAKE[x]}") for c, x in COUNTED.items()],
+        ),
+        "season-players",
+    )
+    players = players.withColumns({f"cum_avg_{SNAKE[x]}": F.col(f"avg_{SNAKE[x]}") for x in RATES.values()})
+    averaged = {f"zavg_{SNAKE[x]}": f"avg_{SNAKE[x]}" for x in SHORT}
+    summed = {f"zcum_{SNAKE[x]}": f"cum_avg_{SNAKE[x]}" if x in RATES.values() else f"cum_{SNAKE[x]}" for x in SHORT}
+    scored = zscores(players, {**averaged, **summed}, ["seasonId"])
+    total = {f"{t}_total": total_of([f"{t}_{SNAKE[x]}" for x in SHORT if x != "minutes"]) for t in ("zavg", "zcum")}
+    return scored.withColumns(total).select(
+        *keys,
+        F.coalesce("__last.firstName", "__first").alias("firstName"),
+        F.coalesce("__last.familyName", "__family").alias("familyName"),
+        *[f"avg_{SNAKE[x]}" for x in SHORT if x != "doubleDouble"], "gamesPlayed",
+        *[f"cum_{SNAKE[x]}" for x in COUNTED.values()], *[f"cum_avg_{SNAKE[x]}" for x in RATES.values()],
+        *[f"zavg_{SNAKE[x]}" for x in SHORT if x != "minutes"], "zavg_total", *[f"zcum_{SNAKE[x]}" for x in SHORT], "zcum_total",
+    )
+
+
 DELTA_SOURCES = {
     "minutes": "average_minutes", "points": "average_points", "assists": "average_assists",
     "steals": "average_steals", "blocks": "average_blocks",
@@ -194,11 +235,17 @@ def performance_delta(
     The last ``n`` rows run across seasons and include absences; rows of absences are
     dropped only afterwards.
     """
+    return pickup_sheet(s.rolling_avg(base, recent_means(n), n, ["personId"], ORDER, block=block), avg, n, weights)
+
+
+def recent_means(n: int) -> dict[str, str]:
+    """Name and source of each mean over the last ``n`` rows."""
+    return {f"{x}_last{n}": _DELTA_INPUT.get(x, x) for x in DELTA_SOURCES}
+
+
+def pickup_sheet(rolled: DataFrame, avg: DataFrame, n: int, weights: dict[str, float] | None = None) -> DataFrame:
+    """Rows with their :func:`recent_means` against the season means ``avg``; absences drop out."""
     suffix = f"last{n}"
-    rolled = s.rolling_avg(
-        base, {f"{x}_{suffix}": _DELTA_INPUT.get(x, x) for x in DELTA_SOURCES}, n, ["personId"], ORDER,
-        block=block,
-    )
     means = avg.select("personId", "gameId", *DELTA_SOURCES.values())
     joined = attach(rolled, means, ["personId", "gameId"])
     deltas = {f"{x}_delta": F.col(f"{x}_{suffix}") - F.col(a) for x, a in DELTA_SOURCES.items()}

@@ -88,6 +88,6 @@ def run(
     z_cum = save("fantasy.z_scores_cumulative", fa.z_scores_cumulative(cum))
     save("fantasy.zscores_overall_current", fa.z_overall_current(z_cum, z_avg, z_last))
     save("fantasy.weekly_stats", fa.weekly_stats(base, season))
-    save("fantasy.season_final", fa.season_final(avg, z_avg, cum, z_cum, season))
+    save("fantasy.season_final", fa.season_sheet(base, season))
     save("fantasy.performance_delta", fa.performance_delta(base, avg, block=block_for(base, ["personId"])), True)
     return written

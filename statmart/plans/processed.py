@@ -60,8 +60,8 @@ def teams_processed(teams: DataFrame, block: Column | None = None) -> DataFrame:
     won, lost = F.col("winLoss") == "W", F.col("winLoss") == "L"
     df = opponent_outcomes(teams)
     df = s.sequence_number(df, "gameNumber", season, order, block)
-    df = s.days_since_prev(df, "daysSinceLastGame", "gameDate", season, order, block)
-    df = s.next_id(df, "nextGameId", "gameId", season, order, block)
+    near = [s.gap_days("daysSinceLastGame", "gameDate"), s.lead_of("nextGameId", "gameId")]
+    df = s.over_rows(df, near, season, order, back=1, ahead=1, block=block)
     df = s.count_in_trailing_days(
         df, {"__d4": 3, "__d6": 5}, season, "gameDate", pre_aggregate=block is not None
     )
@@ -89,10 +89,8 @@ def teams_processed(teams: DataFrame, block: Column | None = None) -> DataFrame:
     )
 
 
-def players_processed(
-    players: DataFrame, teams_proc: DataFrame, block: Column | None = None
-) -> DataFrame:
-    """Player-games with played flag, sequence, minutes and the team's context."""
+def player_facts(players: DataFrame, block: Column | None = None) -> DataFrame:
+    """Player-games with played flag, sequence and minutes: what needs no other row than the player's own."""
     order = ["gameDate", "gameId"]
     keys = ["personId", "seasonId"]
     df = players.filter(F.col("personId").isNotNull()).withColumns(
@@ -102,7 +100,14 @@ def players_processed(
     df = s.next_id(df, "nextGameId", "gameId", keys, order, block)
     df = s.sequence_number(df, "gameCount", keys, order, block)
     df = s.running_count(df, {"gamesPlayed": played}, keys, order, block)
-    df = s.last_active_flag(df, "isLastGame", played, keys, order, whole=block is None)
+    return s.last_active_flag(df, "isLastGame", played, keys, order, whole=block is None)
+
+
+def players_processed(
+    players: DataFrame, teams_proc: DataFrame, block: Column | None = None
+) -> DataFrame:
+    """Player-games with played flag, sequence, minutes and the team's context."""
+    df = player_facts(players, block)
     df = attach_context(
         df, teams_proc, {"gameId": "gameId", "teamId": "teamId"}, ["teamId"], TEAM_CONTEXT
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statmart.functions.text import full_name
 from statmart.operators.nested import flatten_rosters
-from statmart.operators.resolve import fuzzy_match, with_review_flag
+from statmart.operators.resolve import RATIO, Metric, fuzzy_match, with_review_flag
 from statmart.operators.series import latest_per
 from statmart.operators.upsert import latest_snapshot, upsert_snapshot
 
@@ -37,15 +37,18 @@ def latest_names(players: DataFrame) -> DataFrame:
 
 def player_map(
     roster: DataFrame, players: DataFrame, min_score: float = 0.92,
-    score_floor: float | None = None, review_below: float = 0.92,
+    score_floor: float | None = None, review_below: float = 0.92, metric: Metric = RATIO,
 ) -> DataFrame:
-    """Roster players matched to persons, with match kind, score and review flag."""
+    """Roster players matched to persons, with match kind, score and review flag.
+
+    Every player gets the best score there is, matched or not; ``score_floor`` leaves out lower ones.
+    """
     wanted = roster.filter(F.col("playerId").isNotNull() & F.col("name").isNotNull()).select(
         F.col("playerId").cast("string").alias("espn_player_id"), F.col("name").alias("espn_name")
     ).distinct()
     matched = fuzzy_match(
         wanted, latest_names(players), "espn_player_id", "espn_name", "personid", "nba_name",
-        min_score, score_floor=score_floor,
+        min_score, metric, score_floor,
     )
     stamped = matched.select(
         F.col("left_id").alias("espn_player_id"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from statmart.functions.casts import eq_intish, first_existing
 from statmart.functions.text import display_name, format_magnitude, week_label
 from statmart.operators.joins import current_season_only
-from statmart.operators.stats import leaders, rank_desc, rank_top, top_n
+from statmart.operators.stats import leaders, rank_desc, rank_each, rank_top, top_n
 
 from .fantasy import Z_NAMES
 
@@ -133,6 +133,6 @@ def season_ranks(final: DataFrame, season: int | str) -> DataFrame:
     df = final.filter(eq_intish("seasonId", season))
     by = [c for c in ("zcum_total", "zavg_total") if first_existing(df, [c])]
     names = {"zcum_total": "cumulative_rank", "zavg_total": "average_rank"}
-    for c in by:
-        df = rank_desc(df, c, dense=names[c])
+    if by:
+        df = rank_each(df, {c: (None, names[c]) for c in by})
     return order_by(df, by[0]) if by else df

@@ -51,3 +51,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/statmart/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that :func:`materialise` gave, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/statmart/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

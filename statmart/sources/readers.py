@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,32 +15,51 @@ from statmart.operators.nested import parse_roster_ids, parse_rosters
 from statmart.operators.sets import union_by_name
 
 
-def _files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files a glob names, through the file system of the path (local, HDFS, object store)."""
+def _files(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """Files a glob names, through the file system of the path (local, HDFS, object store).
+
+    Path by URI and by plain name, as Spark may report a file in either form.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(path) or []
-    return sorted(f.getPath().toString() for f in found if f.isFile())
+    found = [f.getPath() for f in fs.globStatus(path) or [] if f.isFile()]
+    return {name: p.toString() for p in found for name in (p.toUri().toString(), p.toString())}
+
+
+def _headers(spark: SparkSession, files: dict[str, str]) -> dict[str, list[str]]:
+    """Header line -> its files, found in one job; files without a line have none."""
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.text(sorted(set(files.values()))).select(F.col("_metadata.file_path").alias("file"), F.rtrim("value").alias("line"), at.alias("at"))
+    first = lines.groupBy("file").agg(F.min_by("line", "at").alias("line"))
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in first.collect():  # a row per file, as many as the listing has
+        known = files.get(row.file) or files[re.sub("^file:/+", "file:/", row.file)]
+        groups[row.line].append(known)
+    return {line: sorted(names) for line, names in sorted(groups.items())}
 
 
 def read_csv_union_by_name(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV files with headers, united by column name.
 
-    One multi-file CSV read would match columns by position. The header line of each
-    file is looked at first, files with equal headers are read together, and the groups
-    are united by name. Without ``schema`` types are inferred per group; a column
-    whose groups disagree becomes double if all are numbers, else text.
+    One multi-file CSV read would match columns by position. One job finds every file's
+    header line, files with equal headers are read together, and the groups are united
+    by name. Without ``schema`` types are inferred per group (one more job each); a column
+    whose groups disagree becomes double if all are numbers, else text. Empty files have no rows.
     """
     files = _files(spark, pattern)
     if not files:
         raise FileNotFoundError(f"no file matches {pattern}")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file in files:
-        groups[tuple(spark.read.option("header", True).csv(file).columns)].append(file)
     frames = []
-    for names in groups.values():
-        reader = spark.read.option("header", True).option("inferSchema", schema is None)
-        frames.append(reader.csv(names))
+    for line, names in _headers(spark, files).items():
+        reader = spark.read.option("header", True)
+        if schema is None:
+            frames.append(reader.option("inferSchema", True).csv(names))
+        else:
+            # The header is known, so nothing has to be opened to learn the columns.
+            columns = [c.strip() for c in next(csv.reader([line]))]
+            frames.append(reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(names))
+    if not frames:
+        return spark.createDataFrame([], schema or T.StructType([]))
     if schema is not None:
         types = {f.name: f.dataType for f in schema.fields}
         frames = [

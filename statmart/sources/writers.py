@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from statmart.functions.casts import all_text, lower_columns, require_columns
 from statmart.operators.upsert import key_columns, upsert_delete_insert
+from statmart.session import discard, materialise
 
 from .readers import _exists
 
@@ -35,29 +36,29 @@ def refresh_range(
 ) -> None:
     """Rebuild the days ``start..end`` of a table partitioned by day.
 
-    The filter is on the output only, because windows need earlier rows. Days of the
-    range that come out empty lose their old rows as well. The rebalance hint groups
-    rows by day for the write and lets adaptive execution split a heavy day.
+    The filter is on the output only, because windows need earlier rows. What ``build``
+    gives is written once beside the table, so it runs once; its days are then swapped in,
+    and days of the range that come out empty lose their old rows. The rebalance hint
+    groups rows by day for the write and lets adaptive execution split a heavy day.
     """
-    out = build().filter(F.col(time_col).between(F.lit(start), F.lit(end)))
-    spark = out.sparkSession
-    days_with_rows = out.hint("rebalance", F.col(time_col))
-    stale = _partition_days(spark, path, time_col, start, end)
+    built = materialise(build().filter(F.col(time_col).between(F.lit(start), F.lit(end))), "refresh")
+    spark = built.sparkSession
+    days = {r[0] for r in built.select(time_col).distinct().collect()}
     (
-        days_with_rows.write.mode("overwrite")
+        built.hint("rebalance", F.col(time_col))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(time_col)
         .parquet(path)
     )
-    if stale:
-        # Dynamic overwrite leaves partitions without new rows alone: drop those empty now.
-        built = {r[0] for r in out.select(time_col).distinct().collect()}
-        for day in stale:
-            if day not in built:
-                _delete(spark, f"{path.rstrip('/')}/{time_col}={day.isoformat()}")
+    # Dynamic overwrite leaves partitions without new rows alone: drop those empty now.
+    for day in partition_days(spark, path, time_col, start, end):
+        if day not in days:
+            _delete(spark, f"{path.rstrip('/')}/{time_col}={day.isoformat()}")
+    discard(built)
 
 
-def _partition_days(spark: SparkSession, path: str, time_col: str, start: date, end: date) -> list[date]:
+def partition_days(spark: SparkSession, path: str, time_col: str, start: date = date.min, end: date = date.max) -> list[date]:
     """Days in the range that have a directory (listing only; bounded by the range)."""
     if not _exists(spark, path):
         return []
@@ -138,6 +139,8 @@ def write_trade_output(df: DataFrame, my_team: str, their_team: str, out_dir: st
 
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
     base = f"{out_dir.rstrip('/')}/trades_{name(my_team)}_vs_{name(their_team)}"
+    found = materialise(df, "trades")
     for suffix in (stamp, "latest"):
-        df.write.mode("overwrite").option("header", True).csv(f"{base}_{suffix}")
+        found.write.mode("overwrite").option("header", True).csv(f"{base}_{suffix}")
+    discard(found)
     return f"{base}_{stamp}"

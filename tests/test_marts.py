@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry
-from catalogue import inputs
+from catalogue import domain, generic, inputs, storage
 from catalogue.domain import Domain
 from check import compare, connect
 from statmart.operators.series import time_block
@@ -43,11 +43,12 @@ def test_oracle(spark, oracle, name):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"fuzzy_ratio", "search_topk"}
+    own, sql = ({**getattr(generic, x), **getattr(domain, x), **getattr(storage, x)} for x in ("QUERIES", "ORACLES"))
+    assert set(own) - set(sql) == {"fuzzy_ratio", "search_topk"}
 
 
 @pytest.fixture(scope="module")
-def domain(spark):
+def marts(spark):
     return Domain(spark, SMALL)
 
 
@@ -57,33 +58,33 @@ def same(a, b):
     return rounded(a).exceptAll(rounded(b)).count() == 0 and a.count() == b.count()
 
 
-def test_blocked_marts_equal_plain_marts(spark, domain):
+def test_blocked_marts_equal_plain_marts(spark, marts):
     block = time_block("gameDate", "day")
-    teams = domain._keep("teams_combined", domain.teams_combined)
+    teams = marts._keep("teams_combined", marts.teams_combined)
     assert same(pr.teams_processed(teams), pr.teams_processed(teams, block))
-    base = domain.base()
+    base = marts.base()
     assert same(av.averages(base), av.averages(base, block))
     assert same(av.averages_last_n(base, 4), av.averages_last_n(base, 4, block))
-    avg = domain._keep("averages", domain.averages)
+    avg = marts._keep("averages", marts.averages)
     assert same(fa.performance_delta(base, avg), fa.performance_delta(base, avg, block=block))
 
 
-def test_expanding_mean_at_last_row_is_the_group_mean(domain):
-    base = domain.base()
+def test_expanding_mean_at_last_row_is_the_group_mean(marts):
+    base = marts.base()
     last = av.averages_current(av.averages(base)).select("personId", "seasonId", "average_points")
     mean = base.filter("playedFlag = 1").groupBy("personId", "seasonId").agg(F.avg("points").alias("m"))
     both = last.join(mean, ["personId", "seasonId"], "full")
     assert both.filter("abs(average_points - m) > 1e-9 OR average_points IS NULL AND m IS NOT NULL").count() == 0
 
 
-def test_daily_build(spark, domain, tmp_path):
+def test_daily_build(spark, marts, tmp_path):
     root = str(tmp_path)
     for name in inputs.RAW:
-        domain.raw(name).write.parquet(f"{root}/raw/{name}")
+        marts.raw(name).write.parquet(f"{root}/raw/{name}")
     written = pipeline.run(spark, root)
     assert len(written) == 20
     final = spark.read.parquet(written["fantasy.season_final"])
-    assert same(final, domain.season_final().select(*final.columns))
+    assert same(final, marts.season_final().select(*final.columns))
     before = spark.read.parquet(written["base.players_combined"]).count()
     again = pipeline.run(spark, root, date(2024, 1, 20), date(2024, 1, 22))
     assert spark.read.parquet(again["base.players_combined"]).count() == before

@@ -75,8 +75,8 @@ def test_rosters(spark, rows, tmp_path):
         ("Team One", 7, True, 10.5, 3, 20.5, 0.5, 2.0),
         ("Team One", 8, False, None, None, None, None, None),
     ]
-    docs = nested.nest_rosters(flat, "fantasy_team", F.struct("playerId", "name"), chunk_rows=1)
-    assert docs.count() == 3
+    docs = nested.nest_rosters(flat, "fantasy_team", F.struct("playerId", "name"))
+    assert [r.value for r in docs.collect()] == ['{"T2":[{"name":"C"}],"Team One":[{"playerId":7,"name":"A"},{"playerId":8,"name":"B"}]}']
     back = nested.flatten_rosters(nested.parse_rosters(docs), date(2024, 1, 30))
     assert rows(back, "fantasy_team", "playerId", "name") == rows(flat, "fantasy_team", "playerId", "name")
     older = flat.withColumn("snapshot_date", F.lit(date(2024, 1, 29)))

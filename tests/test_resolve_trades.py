@@ -1,12 +1,13 @@
 """Name matching against brute force, and the trade search on tiny rosters."""
 
+import random
 from difflib import SequenceMatcher, get_close_matches
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
-from statmart.operators import resolve, trades
+from statmart.operators import closest, resolve, trades
 from statmart.plans import rosters
 
 RIGHT = [
@@ -52,11 +53,70 @@ def test_fuzzy_ratio_equals_brute_force(spark, floor, threshold):
             assert row.right_id == min(ids[r] for r, v in scores.items() if v == best)
         else:
             assert row.match_type == "unmatched" and row.right_id is None
-            limit = threshold if floor is None else floor
-            assert row.match_score == (pytest.approx(best) if best >= limit else None)
+            assert row.match_score == (pytest.approx(best) if best >= (floor or 0.0) else None)
     assert len(got) == len(LEFT)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, above = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(above[j] + (x != y), above[j + 1] + 1, row[-1] + 1))
+    return row[-1]
+
+
+def edit_of(a, b):
+    return 1 - edits(a, b) / max(len(a), len(b), 1)
+
+
+@pytest.mark.parametrize("strict,alphabet,seed", [(0.0, "abc", 1), (0.0, "abcdefghijklmnop", 2), (0.6, "abcdef", 3)])
+def test_closest_equals_brute_force(spark, strict, alphabet, seed):
+    """Best score of every name and, where ties matter, the least id; short, repeated and foreign letters included."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14)))
+    rights = sorted({word() for _ in range(150)} | {"a", "aaaaaaaaaaaa", "ab"})
+    lefts = sorted({word() for _ in range(120)} | {"", "z", "zzzz", "aaaa", "a" * 40, "ab"})
+    left = spark.createDataFrame([(w,) for w in [*lefts, *lefts[:5], None]], "norm string")
+    right = spark.createDataFrame([(w, f"{i:04d}", w.upper()) for i, w in enumerate(rights)], "r_norm string, right_id string, right_name string")
+    got = {r.norm: r for r in closest.closest(left, right, strict).collect()}
+    assert set(got) == set(lefts)
+    for w in lefts:
+        scores = [(-edit_of(w, r), f"{i:04d}", r.upper()) for i, r in enumerate(rights)]
+        best = min(scores)
+        assert got[w].score == pytest.approx(-best[0]), w
+        if -best[0] >= strict and best[0] < 0:
+            assert (got[w].right_id, got[w].right_name) == best[1:], w
+
+
+def test_closest_of_nothing(spark):
+    empty = spark.createDataFrame([], "r_norm string, right_id string, right_name string")
+    one = spark.createDataFrame([("abc",)], "norm string")
+    assert closest.closest(one, empty).collect()[0][:] == ("abc", 0.0, None, None)
+    assert closest.closest(one.limit(0), empty).count() == 0
+
+
+def test_closest_looks_at_few_pairs(spark):
+    """On varied names the pairs compared grow in proportion to the names."""
+    rng = random.Random(9)
+    syllables = [a + b for a in "bcdfghjklmnprstvz" for b in "aeiou"]
+    name = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(3, 5))) + " " + "".join(rng.choice(syllables) for _ in range(4))
+    seen = {}
+    for n in (1000, 4000):
+        rights = [name() for _ in range(n)]
+        lefts = [w[:i] + rng.choice("aeiou") + w[i + 1 :] for w in rights for i in [rng.randrange(len(w))]]
+        right = spark.createDataFrame([(w, w, w) for w in set(rights)], "r_norm string, right_id string, right_name string")
+        left = spark.createDataFrame([(w,) for w in set(lefts)], "norm string")
+        pairs, keep = [], closest._candidates
+        try:
+            closest._candidates = lambda *a: (pairs.append(keep(*a).count()), keep(*a))[1]
+            assert closest.closest(left, right, 0.9).filter("score < 0.9").count() == 0
+        finally:
+            closest._candidates = keep
+        seen[n] = sum(pairs)
+    assert seen[4000] < 40 * 4000 and seen[4000] < 8 * seen[1000]
+
+
 @pytest.mark.parametrize("threshold", [0.95, 0.85, 0.75, 0.6])
 def test_candidates_lose_no_pair(spark, threshold):
     """Every pair at or above the threshold is among the candidates, in both metrics."""
