@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .shared import discard, free_name, stored
 
 #: Buckets of hashed features; words a worker remembers; bytes of text that are tagged at once.
-BUCKETS, CACHE_WORDS, BYTES = 1 << 18, 500_000, 16 << 20
+BUCKETS, CACHE_WORDS, BYTES = 1 << 18, 400_000, 4 << 20
 #: Words of an example's chain: the field is fitted on pieces of lines, and tags lines whole.
 PIECE = 128
 #: Labelled documents that a model is fitted on, at most, of each class.
@@ -237,7 +237,7 @@ def _summaries_of(texts: list[str], ids: np.ndarray, counts: np.ndarray, odds: n
     out, start, word = [], 0, 0
     while start < len(texts):
         stop, size = start, 0
-        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BYTES // 4):
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BYTES):
             size += len(texts[stop])
             stop += 1
         n = int(counts[start:stop].sum())
