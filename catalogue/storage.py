@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.functions import casts
-from statmart.operators import nested, trades, upsert
-from statmart.plans import averages as av
-from statmart.plans import daily, fantasy
+from statmart.operators import nested, upsert
+from statmart.plans import daily
 from statmart.plans import measures as m
 from statmart.session import scratch_dir
 from statmart.sources import daily as by_day
@@ -22,7 +21,7 @@ from statmart.sources.schemas import ENDPOINTS
 from statmart.streaming.ingest import ingest_stream
 
 from . import models_sql as q
-from .generic import _leagues, player_z
+from .generic import _leagues
 from .inputs import F4, derive, duck, layers, r, raw_ctes, raw_table, table, tidy
 
 QUERIES: dict = {}
@@ -213,9 +212,9 @@ def csv_seed(spark, sf):
     nation = table(spark, sf, "nation")
     writers.append_csv(nation.select("n_nationkey", "n_name"), seed)
     writers.append_csv(nation.select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.col("n_regionkey").alias("region")), cache)
-    left = readers.read_seed(spark, seed, T.StructType([T.StructField("n_nationkey", T.LongType()), T.StructField("n_name", T.StringType())]))
+    left = readers.read_seed(spark, seed, T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType())]))
     right = readers.read_text_csv(spark, cache)
-    return left.join(right, left["n_nationkey"] == right["code"].cast("long")).select("n_nationkey", "n_name", "region", "code")
+    return left.join(right, left["n_nationkey"] == right["code"].cast("int")).select("n_nationkey", "n_name", "region", "code")
 
 
 @register(
@@ -240,7 +239,7 @@ def table_replace(spark, sf):
     writers.overwrite_table(rows.withColumn("s_name", F.lit("old")).unionAll(rows), f"{root}/base/suppliers")
     writers.overwrite_table(rows, f"{root}/base/suppliers")
     found = readers.table(spark, "base.suppliers", root)
-    return found.withColumn("n", F.lit(writers.row_count(found)))
+    return found.withColumn("n", F.lit(writers.row_count(found)).cast("long"))
 
 
 # -- CSV sinks -------------------------------------------------------------------------
@@ -259,6 +258,18 @@ def game_csv(spark, sf):
     return spark.read.option("header", True).csv(path).select("id", "c_mktsegment", "tag")
 
 
+@register("trade_csv", f"""SELECT s_name AS i_send, {r('s_acctbal', 'net_for_me')}, CAST(2 AS BIGINT) AS copies FROM {{supplier}}""")
+def trade_csv(spark, sf):
+    """A list written under its time and as the latest; the older latest is gone."""
+    root = folder(spark, "trades")
+    rows = table(spark, sf, "supplier").select(F.col("s_name").alias("i_send"), F.col("s_acctbal").alias("net_for_me"))
+    writers.write_trade_output(rows.unionAll(rows), "Mine", "The Others", root)
+    stamped = writers.write_trade_output(rows, " Mine", "The Others", root)
+    read = lambda path: spark.read.option("header", True).csv(path).withColumn("net_for_me", casts.try_double("net_for_me"))
+    both = read(stamped).unionAll(read(f"{root}/trades_mine_vs_the_others_latest"))
+    return both.groupBy("i_send", "net_for_me").agg(F.count("*").alias("copies"))
+
+
 @register(
     "numeric_columns",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, {r("TRY_CAST(CASE WHEN l_partkey % 5 = 0 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE)", 'qty')} FROM {{lineitem}}""",

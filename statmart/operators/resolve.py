@@ -26,6 +26,10 @@ from .closest import EPS, closest, edit_score
 from .series import latest_per
 
 
+#: Edit score down to which candidates come from equal segments; below it these become too short to tell names apart.
+NEAR = 0.75
+
+
 def _ratio_udf():
     # A local function travels to the workers whole, so they need no copy of this package.
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -184,8 +188,8 @@ def fuzzy_match(
 ) -> DataFrame:
     """One row per left row: exact on the normalised name, else the best at ``min_score`` or above.
 
-    Every unmatched row carries its best score. With the edit score that is the default
-    and comes from :func:`closest.closest`; a ``score_floor`` leaves out scores below it.
+    Every unmatched row carries its best score. With the edit score what is close comes from
+    equal segments and the rest from :func:`closest.closest`; a ``score_floor`` leaves out scores below it.
     The ratio has no bound that falls with every probe, so it forms candidate pairs down
     to ``score_floor``: by default 0.0, which looks at every pair with a letter in common.
     """
@@ -205,7 +209,10 @@ def fuzzy_match(
     open_names = names.join(rights.select(F.col("r_norm").alias("norm")), "norm", "left_anti")
 
     if score_floor is None and metric.name == "edit":
-        found, floor = closest(open_names, rights, min_score), 0.0
+        # Segments find all that is close with few candidates; only names close to nothing are probed gram by gram.
+        found, floor = materialise(_down_to(open_names, rights, min_score, min(min_score, NEAR), metric), "close-names"), 0.0
+        far = open_names.join(found.select("norm"), "norm", "left_anti")
+        found = found.unionByName(closest(far, rights, min_score).select(*found.columns))
     else:
         floor = score_floor or 0.0
         found = _down_to(open_names, rights, min_score, floor, metric)

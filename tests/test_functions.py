@@ -109,3 +109,28 @@ def test_outcomes(spark):
     assert [r[0] for r in df.select(scoring.cover_result("l", F.col("h"), "d")).collect()] == ["Cover", "No Cover", "Cover", None]
     df = spark.createDataFrame([(100., 101., 200.), (90., 90., 180.), (1., 1., 9.), (1., 1., None)], "p double, o double, t double")
     assert [r[0] for r in df.select(scoring.over_under_result("p", "o", "t")).collect()] == ["Over", "Push", "Under", None]
+
+
+def test_accents_of_all_code_points(spark):
+    """Every code point that is a variant of ASCII, alone in a text, folds to it."""
+    import unicodedata
+
+    points = [chr(c) for c in [*range(0x80, 0xD800), *range(0xE000, 0x30000)]]
+    plain = lambda x: "".join(y for y in unicodedata.normalize("NFKD", x) if not unicodedata.combining(y))
+    wanted = {c: plain(c) for c in points if plain(c) != c and plain(c) and plain(c).isascii()}
+    df = spark.createDataFrame([(c, f"x{c}y") for c in wanted], "c string, t string").select("c", text.fold_accents("t").alias("t"))
+    assert {r.c: r.t for r in df.collect()} == {c: f"x{p}y" for c, p in wanted.items()}
+    assert len(wanted) > 2000
+
+
+def test_measures_by_hand():
+    """A dozen measures and where they come from, written down apart from the lists that the marts use."""
+    from statmart.plans import measures as m
+
+    team = {"points": ["l.pts", "t.points"], "blocks": ["l.blk", "m.blocks", "t.blocks"], "reboundsTotal": ["l.reb", "t.reboundstotal"],
+            "pace": ["a.pace"], "pointsPaint": ["m.pointspaint"], "percentagePoints3pt": ["s.percentagepoints3pt"]}
+    player = {"points": ["t.points"], "assists": ["t.assists"], "pace": ["a.pace"], "pointsPaint": ["m.pointspaint"],
+              "percentagePoints3pt": ["s.percentagepoints3pt"], "usagePercentage": ["a.usagepercentage"]}
+    assert {k: m.TEAM_MEASURES[k] for k in team} == team
+    assert {k: m.PLAYER_MEASURES[k] for k in player} == player
+    assert m.CATEGORIES["threePointersMade"] == ("threes", "average_three_pointers_made") and len(m.CATEGORIES) == 10

@@ -27,7 +27,9 @@ CHECKED = (
     "team_record vs_opponent opponent_outcomes star_join_typed chain_join_typed half_totals global_rank zscore_hot_groups "
     "category_leaders series_expanding_blocked series_rolling_blocked series_neighbours_blocked upsert_delete_insert "
     "upsert_merge_coalesce snapshot_upsert missing_keys roster_flatten fuzzy_levenshtein trade_2for2 text_formatters "
-    "mart_player_averages mart_season_ranks mart_week_leaders"
+    "mart_player_averages mart_season_ranks mart_week_leaders mart_season_final mart_ranked_positions roster_documents "
+    "fuzzy_best_score player_map_named raw_upsert_days log_upsert refresh_averages refresh_last_10 refresh_performance "
+    "refresh_range_days ingest_shuffled csv_union_by_name game_csv trade_csv"
 ).split()
 
 

@@ -96,25 +96,26 @@ def test_closest_of_nothing(spark):
     assert closest.closest(one.limit(0), empty).count() == 0
 
 
-def test_closest_looks_at_few_pairs(spark):
-    """On varied names the pairs compared grow in proportion to the names."""
+def test_matching_looks_at_few_pairs(spark, monkeypatch):
+    """On varied names the pairs compared grow in proportion to the names, with every best score found."""
     rng = random.Random(9)
     syllables = [a + b for a in "bcdfghjklmnprstvz" for b in "aeiou"]
     name = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(3, 5))) + " " + "".join(rng.choice(syllables) for _ in range(4))
+    pairs = []
+    for module, one in ((closest, "_candidates"), (resolve, "candidates")):
+        keep = getattr(module, one)
+        monkeypatch.setattr(module, one, lambda *a, keep=keep: (pairs.append(keep(*a).count()), keep(*a))[1])
     seen = {}
-    for n in (1000, 4000):
-        rights = [name() for _ in range(n)]
+    for n in (1000, 10_000):
+        pairs.clear()
+        rights = sorted({name() for _ in range(n)})
         lefts = [w[:i] + rng.choice("aeiou") + w[i + 1 :] for w in rights for i in [rng.randrange(len(w))]]
-        right = spark.createDataFrame([(w, w, w) for w in set(rights)], "r_norm string, right_id string, right_name string")
-        left = spark.createDataFrame([(w,) for w in set(lefts)], "norm string")
-        pairs, keep = [], closest._candidates
-        try:
-            closest._candidates = lambda *a: (pairs.append(keep(*a).count()), keep(*a))[1]
-            assert closest.closest(left, right, 0.9).filter("score < 0.9").count() == 0
-        finally:
-            closest._candidates = keep
+        right = spark.createDataFrame([(w,) for w in rights], "rid string").withColumn("rname", F.col("rid"))
+        left = spark.createDataFrame(list(enumerate(lefts)), "lid int, lname string")
+        found = resolve.fuzzy_match(left, right, "lid", "lname", "rid", "rname", 0.9, resolve.EDIT)
+        assert found.count() == len(lefts) and found.filter("match_type = 'unmatched'").isEmpty()
         seen[n] = sum(pairs)
-    assert seen[4000] < 40 * 4000 and seen[4000] < 8 * seen[1000]
+    assert seen[10_000] < 20 * 10_000 and seen[10_000] < 15 * seen[1000]
 
 
 @pytest.mark.parametrize("threshold", [0.95, 0.85, 0.75, 0.6])
