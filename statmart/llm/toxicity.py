@@ -26,7 +26,7 @@ from .shared import discard, free_name, stored
 
 #: Buckets of hashed features; words a worker remembers; bytes of text that are tagged at once.
 BUCKETS, CACHE_WORDS, BYTES = 1 << 18, 400_000, 4 << 20
-#: Words of an example's chain: the field is fitted on pieces of lines, and tags lines whole.
+#: Words of a piece: the field is fitted on pieces of lines; lines are tagged whole, their pieces side by side.
 PIECE = 128
 #: Labelled documents that a model is fitted on, at most, of each class.
 SAMPLE = 3_000
@@ -73,26 +73,95 @@ class Model:
 
 
 def forward_backward(odds: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward and backward messages, as odds, for each word of the chains laid end to end."""
+    """Forward and backward messages, as odds, for each word of the chains laid end to end.
+
+    A message is a ratio of two linear forms of the one before it, so a piece of a chain acts on what
+    enters it as a matrix. Long chains are cut into pieces whose matrices are worked out side by
+    side; messages then step from piece to piece, and within all pieces at once.
+    """
     if not len(odds):
         return odds, odds
-    order = np.argsort(-lengths, kind="stable")
-    starts = (np.cumsum(lengths) - lengths)[order]
-    lens = lengths[order]
-    active = np.searchsorted(-lens, -np.arange(1, lens[0] + 1), side="right")
     (a, b), (c, d) = moves
-    fwd, back = odds.copy(), np.ones_like(odds)
-    for t in range(1, lens[0]):
-        at = starts[: active[t]] + t
-        r = fwd[at - 1]
-        fwd[at] = np.minimum(odds[at] * (b + d * r) / (a + c * r), RATIO)
-    for t in range(lens[0] - 2, -1, -1):
-        at = starts[: active[t + 1]] + t
-        r = odds[at + 1] * back[at + 1]
-        back[at] = (c + d * r) / (a + b * r)
+    n = -(-lengths // PIECE)
+    first = np.cumsum(n) - n
+    place = np.arange(n.sum()) - np.repeat(first, n)
+    start = np.repeat(np.cumsum(lengths) - lengths, n) + place * PIECE
+    size = np.minimum(PIECE, np.repeat(lengths, n) - place * PIECE)
+    # Forward, the two states become (a u + c v, o (b u + d v)); the odds are v / u.
+    fwd = _messages(odds, start, size, place, np.repeat(n, n), (a, c, b, d), False)
+    # Backward, (a u + b o v, c u + d o v): the same with what a word brings moved one word on.
+    shifted = np.append(odds[1:], 1.0)
+    back = _messages(shifted, start, size, np.repeat(n, n) - 1 - place, np.repeat(n, n), (a, b, c, d), True)
     return fwd, back
 
 
+def _messages(
+    odds: np.ndarray, start: np.ndarray, size: np.ndarray, place: np.ndarray, count: np.ndarray, form: tuple, backward: bool
+) -> np.ndarray:
+    """Messages of all words; ``place`` numbers a chain's pieces in the direction of travel."""
+    p, q, r, s = form
+    end = start + size - 1
+
+    def word(i: np.ndarray, t: int) -> np.ndarray:
+        return end[i] - t if backward else start[i] + t
+
+    def step(u, v, o):
+        """One word on; forward its odds weigh what leaves, backward what enters."""
+        return (p * u + q * o * v, r * u + s * o * v) if backward else (p * u + q * v, o * (r * u + s * v))
+
+    out = np.empty_like(odds)
+    by_size = np.argsort(-size, kind="stable")
+    entering = np.ones(len(start))
+    if len(count) and count.max() > 1:
+        # Matrices of the pieces that another one enters and leaves, as what becomes of (1, 0) and (0, 1).
+        inner = by_size[(place[by_size] > 0) & (place[by_size] < count[by_size] - 1)]
+        u0, v0 = np.ones(len(inner)), np.zeros(len(inner))
+        u1, v1 = np.zeros(len(inner)), np.ones(len(inner))
+        for t in range(PIECE if len(inner) else 0):
+            live = int(np.searchsorted(-size[inner], -(t + 1), "right"))
+            if not live:
+                break
+            o = odds[word(inner[:live], t)]
+            u0[:live], v0[:live] = step(u0[:live], v0[:live], o)
+            u1[:live], v1[:live] = step(u1[:live], v1[:live], o)
+            scale = 1 / np.maximum(np.maximum(u0[:live], v0[:live]), np.maximum(u1[:live], v1[:live]))
+            for x in (u0, v0, u1, v1):
+                x[:live] *= scale
+        matrix = np.zeros((len(start), 4))
+        matrix[inner] = np.stack([u0, v0, u1, v1], 1)
+        _run(out, odds, by_size[place[by_size] == 0], size, entering, word, step, backward)
+        toward = -1 if backward else 1
+        at = np.flatnonzero((place == 0) & (count > 1))
+        message = out[start[at] if backward else end[at]]
+        k = 1
+        while len(at):
+            at = at + toward
+            entering[at] = message
+            on = count[at] > k + 1
+            at, message = at[on], message[on]
+            m = matrix[at]
+            message = np.minimum((m[:, 1] + m[:, 3] * message) / np.maximum(m[:, 0] + m[:, 2] * message, 1e-300), RATIO)
+            k += 1
+    _run(out, odds, by_size, size, entering, word, step, backward, place)
+    return out
+
+
+def _run(out, odds, pieces, size, entering, word, step, backward, place=None) -> None:
+    """Messages within pieces, all side by side, from what enters them; a chain's first word has no past."""
+    message = entering[pieces].copy()
+    begins = np.ones(len(pieces), bool) if place is None else place[pieces] == 0
+    sizes = size[pieces]
+    for t in range(int(sizes[0]) if len(pieces) else 0):
+        live = int(np.searchsorted(-sizes, -(t + 1), "right"))
+        i = word(pieces[:live], t)
+        u, v = step(1.0, message[:live], odds[i])
+        new = np.minimum(v / u, RATIO)
+        if t == 0:
+            new = np.where(begins[:live], 1.0 if backward else np.minimum(odds[i], RATIO), new)
+        message[:live] = new
+        out[i] = new
+
+
 def marginals(odds: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Odds of the toxic state for each word."""
     fwd, back = forward_backward(odds, lengths, moves)
