@@ -7,6 +7,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,25 @@ def test_long_lines_are_one_chain():
     assert lengths.tolist() == [1000, 2] and counts.tolist() == [1002, 0, 0] and len(words) == 1002
 
 
+def test_long_chains_equal_the_plain_recursion(monkeypatch):
+    """Pieces joined by their matrices give the messages that word after word gives."""
+    rng = np.random.default_rng(0)
+    for piece, longest in ((128, 700), (4, 40), (1, 9)):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        lengths = rng.integers(1, longest, 12)
+        odds, moves = np.exp(rng.normal(size=lengths.sum()) * 3), np.exp(rng.normal(size=(2, 2)))
+        (a, b), (c, d) = moves
+        fwd, back = odds.copy(), np.ones_like(odds)
+        for end, n in zip(np.cumsum(lengths), lengths):
+            for t in range(end - n + 1, end):
+                fwd[t] = odds[t] * (b + d * fwd[t - 1]) / (a + c * fwd[t - 1])
+            for t in range(end - 2, end - n - 1, -1):
+                r = odds[t + 1] * back[t + 1]
+                back[t] = (c + d * r) / (a + b * r)
+        got = toxicity.forward_backward(odds, lengths, moves)
+        assert np.allclose(got[0], fwd, rtol=1e-8) and np.allclose(got[1], back, rtol=1e-8)
+
+
 def test_decontamination_by_brute_force(spark):
     """Every window of twelve words against every window of the items."""
     rng = random.Random(8)
