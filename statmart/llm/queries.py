@@ -186,7 +186,24 @@ def op12_secrets(spark, sf):
     )
 
 
-@query()
+@query(
+    """WITH RECURSIVE t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS source,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    o AS (SELECT source, run, count(*) AS times, hex(encode(source || ':' || run)) AS x FROM t WHERE length(run) >= 5 GROUP BY source, run),
+    h AS (SELECT run, times, xor(list_reduce([4294967295] || list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, CAST(i AS BIGINT), 2) AS BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) AS h FROM o),
+    s AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+    w AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+    d AS (SELECT word, i, substr(word, 1, CAST(i - 1 AS BIGINT)) || substr(word, CAST(i + 1 AS BIGINT)) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+    p AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, d.rest FROM d SEMI JOIN w ON d.rest = w.word UNION SELECT d.rest, d.word FROM d SEMI JOIN w ON d.rest = w.word),
+    b AS (SELECT p.word, count(*) OVER (PARTITION BY p.word) AS n_near, p.near, v.n AS near_n FROM p JOIN w v ON p.near = v.word
+      QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, p.near) = 1),
+    f AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form, CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n
+      FROM w LEFT JOIN b ON w.word = b.word),
+    r AS (SELECT word, word AS place FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON r.place = f.word WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, r.place AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON f.word = r.word JOIN f e ON e.word = r.place AND e.form IS NULL"""
+)
 def op13_variants(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return variants.grouped(variants.word_counts(docs, noise="doc_id"))
