@@ -118,6 +118,26 @@ def test_matching_looks_at_few_pairs(spark, monkeypatch):
     assert seen[10_000] < 20 * 10_000 and seen[10_000] < 15 * seen[1000]
 
 
+def test_names_with_shared_words_meet_few(spark, monkeypatch):
+    """Words that every name has bring no pairs, also where the best score is far below the wanted one."""
+    rng = random.Random(4)
+    part = lambda n: "".join(rng.choice("abdefgilno") for _ in range(n))
+    pairs = []
+    for module, one in ((closest, "_candidates"), (resolve, "candidates")):
+        keep = getattr(module, one)
+        monkeypatch.setattr(module, one, lambda *a, keep=keep: (pairs.append(keep(*a).count()), keep(*a))[1])
+    rights = sorted({f"pla{part(7)}ck fam{part(5)}" for _ in range(1500)})
+    lefts = [f"guest {w}" if i % 5 == 0 else w[:-1] for i, w in enumerate(rights)]
+    right = spark.createDataFrame([(w,) for w in rights], "rid string").withColumn("rname", F.col("rid"))
+    left = spark.createDataFrame(list(enumerate(lefts)), "lid int, lname string")
+    found = resolve.fuzzy_match(left, right, "lid", "lname", "rid", "rname", 0.85, resolve.EDIT)
+    got = {r.left_id: (r.match_type, r.match_score) for r in found.select("left_id", "match_type", "match_score").collect()}
+    for i in range(0, 1500, 50):
+        best = max(edit_of(lefts[i], w) for w in rights)
+        assert got[i] == ("fuzzy_norm" if best >= 0.85 else "unmatched", pytest.approx(best))
+    assert sum(pairs) < 100 * len(lefts)
+
+
 @pytest.mark.parametrize("threshold", [0.95, 0.85, 0.75, 0.6])
 def test_candidates_lose_no_pair(spark, threshold):
     """Every pair at or above the threshold is among the candidates, in both metrics."""
