@@ -91,12 +91,15 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], buckets: int = 64
     batch = all_text(lower_columns(batch))
     require_columns(batch, keys)
     part = F.pmod(F.xxhash64(keys[0]), F.lit(buckets)).cast("int")
-    if not _exists(spark, path):
+    exists = _exists(spark, path)
+    if not exists:
         merged = batch
     else:
+        # Read three times: a stream's batch would run its state each time.
+        batch = materialise(batch, "upsert-batch")
         touched = [r[0] for r in batch.select(part.alias(PART)).distinct().collect()]
         if not touched:
-            return
+            return discard(batch)
         stored = spark.read.option("mergeSchema", True).parquet(path)
         target = stored.filter(F.col(PART).isin(touched)).drop(PART)
         merged = upsert_delete_insert(target, batch, keys)
@@ -108,6 +111,8 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], buckets: int = 64
         .partitionBy(PART)
         .parquet(path)
     )
+    if exists:
+        discard(batch)
 
 
 def upsert_endpoint(

@@ -1,20 +1,16 @@
 """New raw files arriving become keyed upserts into a stored raw table.
 
 The stream remembers the latest version of every natural key, so files may come in any order and
-more than once: a row older than what its key has already shown is dropped, an exact replay gives
+more than once: a row older than what its key has already shown is dropped, an exact replay changes
 nothing, and the table ends as one batch upsert of the newest rows would leave it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from statmart.functions.casts import all_text, any_null, lower_columns
 from statmart.operators.upsert import dedupe
@@ -22,8 +18,6 @@ from statmart.sources.daily import placed_by_log, upsert_days
 from statmart.sources.writers import upsert_table
 
 ARRIVED = "__arrived"
-#: What the state of a key holds: its latest version, and the values that came with it.
-STATE = "version string, told string"
 
 
 def prepare_batch(batch: DataFrame, keys: list[str], newest: list[str] | None = None) -> DataFrame:
@@ -36,42 +30,21 @@ def prepare_batch(batch: DataFrame, keys: list[str], newest: list[str] | None =
     return dedupe(batch.filter(~any_null(keys)), keys, newest)
 
 
-def _newest_of(columns: list[str]):
-    """For one key: its newest row of the batch, if it is newer than what the state knows."""
-    values = [c for c in columns if c != ARRIVED]
-
-    def rank(row: tuple) -> tuple[str, str]:
-        return row[-1] or "", "\x1f".join("\x00" if v is None else v for v in row[:-1])
-
-    def newest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, had = None, tuple(state.get) if state.exists else ("", "")
-        for frame in frames:
-            rows = frame[[*values, ARRIVED]].astype(object).where(frame[[*values, ARRIVED]].notna(), None)
-            for row in rows.itertuples(index=False, name=None):
-                if best is None or rank(row) > best[0]:
-                    best = rank(row), row
-        if best is not None and best[0] > had:
-            state.update(best[0])
-            yield pd.DataFrame([best[1][:-1]], columns=values)
-
-    return newest
-
-
 def latest_versions(arriving: DataFrame, keys: list[str], version: str = ARRIVED) -> DataFrame:
-    """Of a stream of rows those that are the newest their key has shown so far, at most one a batch.
+    """Of a stream of rows the newest that each key of a batch has shown so far, in update mode one a key and batch.
 
     ``version`` orders the rows of a key as text; of rows with the same version the one with the greatest
     values stays, whatever the order in which they come. A missing version is older than
-    any; rows with a NULL key are dropped. All columns are text. The store grows with the keys, not
-    with the rows; on a cluster let it be RocksDB (``spark.sql.streaming.stateStore.providerClass``).
+    any; rows with a NULL key are dropped. All columns are text. A key that shows nothing new gives its
+    newest row once more, which an upsert replaces by itself. It is an aggregation in the JVM, combined
+    before the shuffle. The store grows with the keys, not with the rows; on a cluster let it be RocksDB (``spark.sql.streaming.stateStore.providerClass``).
     """
     text = all_text(lower_columns(arriving))
-    keyed = text.filter(~any_null(keys)).withColumn(ARRIVED, F.col(version))
+    keyed = text.filter(~any_null(keys)).withColumn(ARRIVED, F.coalesce(F.col(version), F.lit("")))
     values = [c for c in text.columns if c != ARRIVED]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in values])
-    return keyed.groupBy(*keys).applyInPandasWithState(
-        _newest_of([*values, ARRIVED]), schema, STATE, "update", GroupStateTimeout.NoTimeout
-    )
+    told = F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("\x00")) for c in values])
+    newest = F.max(F.struct(ARRIVED, told.alias("told"), F.struct(*values).alias("row"))).alias("newest")
+    return keyed.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(newest).select("newest.row.*")
 
 
 def ingest_stream(

@@ -1,4 +1,4 @@
-"""The chain of player tables: every link on one layout, with the rows that a plain chain of left joins gives."""
+"""The chain of player tables on one layout, with the rows of plain left joins; the newest versions of a stream."""
 
 from pyspark.sql import functions as F
 
@@ -49,3 +49,12 @@ def test_chain_is_dealt_out_once(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     by_link = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "__person" in x.split("hashpartitioning(")[1]]
     assert len(by_link) == 3 and not any("game_id" in x for x in by_link)
+
+
+def test_newest_versions_are_kept_without_python(spark, tmp_path):
+    """The stream's state is an aggregation of Spark, not a Python call for each key of each batch."""
+    from statmart.streaming.ingest import latest_versions
+
+    arriving = spark.readStream.schema("id string, version string, v string").option("header", True).csv(str(tmp_path))
+    plan = latest_versions(arriving, ["id"], "version")._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "Aggregate" in plan
