@@ -46,7 +46,7 @@ def career_memory() -> carry.Memory:
 
 def base_days(log: DataFrame, players: dict[str, DataFrame]) -> DataFrame:
     """Base statistics of the games in ``log``, from rows of these games only."""
-    known = cb.players_combined(log, players).filter(F.col("personId").isNotNull())
+    known = cb.players_combined(log, players, fa.BASE_INPUT).filter(F.col("personId").isNotNull())
     facts = known.withColumns(
         {"playedFlag": played_flag("minutes"), "minutes": clock_minutes("minutes"), "isLastGame": F.lit(None).cast("int")}
     )

@@ -58,3 +58,52 @@ def test_newest_versions_are_kept_without_python(spark, tmp_path):
     arriving = spark.readStream.schema("id string, version string, v string").option("header", True).csv(str(tmp_path))
     plan = latest_versions(arriving, ["id"], "version")._jdf.queryExecution().analyzed().toString()
     assert "Pandas" not in plan and "Aggregate" in plan
+
+
+def _player_tables(spark):
+    from statmart.sources.schemas import ENDPOINTS, raw_columns
+
+    def rows(endpoint, *given):
+        names = raw_columns(endpoint, False)
+        return spark.createDataFrame([tuple(g.get(c) for c in names) for g in given], ", ".join(f"`{c}` string" for c in names))
+
+    one = {"gameid": "1", "personid": "10", "teamtricode": "A", "firstname": "F", "familyname": "L", "points": "5", "minutes": "9:00"}
+    two, alone = {**one, "personid": "11"}, {**one, "personid": "n/a"}
+    given = {e: [{**one, "pace": "1"}, two] for e in ENDPOINTS}
+    # Twins, and rows that differ only in a measure, in a text, or in which of two measures is missing.
+    given["traditional"] = [one, one, {**one, "assists": "7"}, {**one, "position": "G"}, two, alone, {**alone, "comment": "x"}]
+    given["scoring"] = [{**one, "percentagepoints2pt": "1"}, {**one, "percentagepoints3pt": "1"}, {**one, "percentagepoints3pt": "n/a"}, one]
+    given["misc"] = [{**one, "firstname": None, "foulsdrawn": "0"}, {**one, "foulsdrawn": "-0.0"}]
+    log = spark.createDataFrame(
+        [("22024", "1001", "A", "Team", "1", "2024-01-01", "A vs. B", "W"), ("22024", "1001", "A", "Team", "2", "2024-01-02", "A vs. B", None)] * 2,
+        "season_id string, team_id string, team_abbreviation string, team_name string, game_id string, game_date string, matchup string, wl string",
+    )
+    return log, {e: rows(e, *g) for e, g in given.items()}
+
+
+def test_chosen_columns_keep_the_rows_of_the_whole_facts(spark):
+    from statmart.plans import combined as cb
+    from statmart.plans import fantasy as fa
+
+    log, tables = _player_tables(spark)
+    key = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    whole = cb.players_combined(log, tables)
+    assert whole.count() > whole.select(*fa.BASE_INPUT).distinct().count()
+    for columns in (fa.BASE_INPUT, ["personId", "position"]):
+        assert key(cb.players_combined(log, tables, columns)) == key(whole.select(*columns))
+
+
+def test_columns_left_out_are_not_dealt_out(spark):
+    """What the base statistics do not read goes through no exchange: only a hash of it."""
+    from statmart.plans import combined as cb
+    from statmart.plans import fantasy as fa
+
+    log, tables = _player_tables(spark)
+    narrow = cb.players_combined(log, tables, fa.BASE_INPUT)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = narrow._jdf.queryExecution().sparkPlan()
+        joins = [x for x in plan.toString().splitlines() if "HashAggregate(keys=[" in x and "points" in x]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert joins and all("__rest" in x and "pace" not in x and "turnovers" not in x for x in joins)
