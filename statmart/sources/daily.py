@@ -114,39 +114,44 @@ def upsert_days(batch: DataFrame, path: str, keys: list[str]) -> list[tuple]:
     text = all_text(lower_columns(batch.drop(*PARTITION)))
     require_columns(text, keys)
     batch = all_text(lower_columns(batch)).withColumns({SEASON: season, DAY: day})
-    batch = materialise(batch.select(*text.columns, *PARTITION), "upsert-batch")
-    touched = set(_partitions(batch))
+    batch = batch.select(*text.columns, *PARTITION)
     columns = list(text.columns)
     if layout is None:
-        merged = batch
-    else:
-        columns = layout["columns"] + [c for c in columns if c not in layout["columns"]]
-        stored = read_days(spark, path, placed=True)
-        seasons = {season for season, _ in touched}
-        # A game keeps its season, so its old rows are looked for there; one without a season, everywhere.
-        near = stored if None in seasons else stored.filter(F.col(SEASON).isin(sorted(seasons)) | F.col(SEASON).isNull())
-        touched |= set(_partitions(near.select(keys[0], *PARTITION).join(batch.select(keys[0]).distinct(), keys[0], "left_semi")))
-        if not touched:
-            return []
-        old = stored.filter(_in(sorted(touched, key=str)))
-        kept = old.join(batch.select(*keys).distinct(), keys, "left_anti")
-        merged = kept.unionByName(batch, allowMissingColumns=True)
-        merged = materialise(merged, "upsert-merged")
-        emptied = touched - set(_partitions(merged))
-    if layout is None or columns != layout["columns"]:
+        # Nothing to replace: the batch goes straight to its partitions.
+        _put_layout(spark, path, {"keys": keys, "partition": PARTITION, "columns": columns})
+        _write(batch, path)
+        return sorted(_partitions(read_days(spark, path, placed=True)), key=str)
+    batch = materialise(batch, "upsert-batch")
+    touched = set(_partitions(batch))
+    columns = layout["columns"] + [c for c in columns if c not in layout["columns"]]
+    stored = read_days(spark, path, placed=True)
+    seasons = {season for season, _ in touched}
+    # A game keeps its season, so its old rows are looked for there; one without a season, everywhere.
+    near = stored if None in seasons else stored.filter(F.col(SEASON).isin(sorted(seasons)) | F.col(SEASON).isNull())
+    touched |= set(_partitions(near.select(keys[0], *PARTITION).join(batch.select(keys[0]).distinct(), keys[0], "left_semi")))
+    if not touched:
+        return []
+    old = stored.filter(_in(sorted(touched, key=str)))
+    kept = old.join(batch.select(*keys).distinct(), keys, "left_anti")
+    merged = materialise(kept.unionByName(batch, allowMissingColumns=True), "upsert-merged")
+    emptied = touched - set(_partitions(merged))
+    if columns != layout["columns"]:
         # First, so that no crash leaves rows which a reader does not know of.
         _put_layout(spark, path, {"keys": keys, "partition": PARTITION, "columns": columns})
+    _write(merged.select(*columns, *PARTITION), path)
+    for part in emptied:
+        folder, fs = _path(spark, f"{path.rstrip('/')}/{_folder(part)}")
+        fs.delete(folder, True)
+    discard(merged)
+    discard(batch)
+    return sorted(touched, key=str)
+
+
+def _write(rows: DataFrame, path: str) -> None:
     (
-        merged.select(*columns, *PARTITION).hint("rebalance", *PARTITION).write.mode("overwrite")
+        rows.hint("rebalance", *PARTITION).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(path)
     )
-    if layout is not None:
-        for part in emptied:
-            folder, fs = _path(spark, f"{path.rstrip('/')}/{_folder(part)}")
-            fs.delete(folder, True)
-        discard(merged)
-    discard(batch)
-    return sorted(touched, key=str)
 
 
 def _folder(part: tuple) -> str:

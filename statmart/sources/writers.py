@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -37,25 +38,24 @@ def refresh_range(
     """Rebuild the days ``start..end`` of a table partitioned by day.
 
     The filter is on the output only, because windows need earlier rows. What ``build``
-    gives is written once beside the table, so it runs once; its days are then swapped in,
-    and days of the range that come out empty lose their old rows. The rebalance hint
-    groups rows by day for the write and lets adaptive execution split a heavy day.
+    gives is written once, by day into a hidden folder of the table, so ``build`` may read the
+    table itself. Its days' folders are then swapped in, and days of the range that come out
+    empty lose their old rows. The rebalance hint groups rows by day for the write and lets
+    adaptive execution split a heavy day.
     """
-    built = materialise(build().filter(F.col(time_col).between(F.lit(start), F.lit(end))), "refresh")
-    spark = built.sparkSession
-    days = {r[0] for r in built.select(time_col).distinct().collect()}
-    (
-        built.hint("rebalance", F.col(time_col))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(time_col)
-        .parquet(path)
-    )
-    # Dynamic overwrite leaves partitions without new rows alone: drop those empty now.
-    for day in partition_days(spark, path, time_col, start, end):
-        if day not in days:
-            _delete(spark, f"{path.rstrip('/')}/{time_col}={day.isoformat()}")
-    discard(built)
+    built = build().filter(F.col(time_col).between(F.lit(start), F.lit(end)))
+    spark, path = built.sparkSession, path.rstrip("/")
+    fresh = f"{path}/_fresh-{uuid.uuid4().hex}"
+    built.hint("rebalance", F.col(time_col)).write.partitionBy(time_col).parquet(fresh)
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    days = partition_days(spark, fresh, time_col)
+    for day in {*days, *partition_days(spark, path, time_col, start, end)}:
+        name = f"{time_col}={day.isoformat()}"
+        _delete(spark, f"{path}/{name}")
+        if day in days and not fs.rename(p(f"{fresh}/{name}"), p(f"{path}/{name}")):
+            raise OSError(f"cannot swap in {path}/{name}")
+    _delete(spark, fresh)
 
 
 def partition_days(spark: SparkSession, path: str, time_col: str, start: date = date.min, end: date = date.max) -> list[date]:

@@ -157,3 +157,25 @@ def test_ingest_stream_is_idempotent(spark, rows, tmp_path):
     run()
     run()
     assert rows(writers.read_raw(spark, target)) == [("1", "t", "11"), ("2", "t", "21"), ("3", "t", "30")]
+
+
+def test_days_are_written_once(spark, rows, tmp_path, monkeypatch):
+    """Refreshed days and a table's first rows go straight to their folders, also where the build reads the table."""
+    from statmart.sources import daily as by_day
+
+    def fail(df, name):
+        raise AssertionError(f"{name} is written beside the table first")
+
+    for module in (writers, by_day):
+        monkeypatch.setattr(module, "materialise", fail)
+    path, day = f"{tmp_path}/days", F.to_date(F.concat(F.lit("2024-01-0"), F.col("d")))
+    base = spark.createDataFrame([(1, "1"), (2, "2"), (3, "3"), (4, None)], "v int, d string").select("v", day.alias("gameDate"))
+    writers.refresh_range(lambda: base, date(2024, 1, 1), date(2024, 1, 31), path)
+    again = lambda: spark.read.parquet(path).filter("v <> 3").withColumn("v", F.col("v") * 10).select("v", "gameDate")
+    writers.refresh_range(again, date(2024, 1, 2), date(2024, 1, 3), path)
+    assert rows(spark.read.parquet(path), "v", F.col("gameDate").cast("string")) == [(1, "2024-01-01"), (20, "2024-01-02")]
+    assert sorted(x.name for x in (tmp_path / "days").iterdir() if x.is_dir()) == ["gameDate=2024-01-01", "gameDate=2024-01-02"]
+    batch = base.select(F.col("v").cast("string").alias("gameid"), F.lit("22024").alias("season"), F.col("gameDate").alias("day"))
+    touched = by_day.upsert_days(batch, f"{tmp_path}/raw", ["gameid"])
+    assert len(touched) == 4 and ("22024", None) in touched and ("22024", date(2024, 1, 3)) in touched
+    assert rows(by_day.read_days(spark, f"{tmp_path}/raw")) == [("1",), ("2",), ("3",), ("4",)]
