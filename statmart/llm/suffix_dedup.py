@@ -34,7 +34,7 @@ from .shared import free_name, stored
 
 PIECE = 36
 #: Bytes hashed at once, buckets that stretches are dealt to, stretches of an anchor that stay together.
-CHUNK, BUCKETS, TOGETHER = 1 << 21, 2_048, 256
+CHUNK, BUCKETS, TOGETHER = 1 << 19, 2_048, 256
 #: Entries of a new level, and bytes of text whose stretches are reduced together.
 LEVEL, BATCH = 1 << 18, 12 << 20
 LAST = (1 << 63) - 1

@@ -203,3 +203,25 @@ def test_decontamination(spark):
     assert decontaminate.clean(df, bench).count() == 33
     assert decontaminate.clean(df.limit(0), bench).count() == 0
     assert decontaminate.clean(df, bench.limit(0)).count() == len(docs)
+
+
+def test_stretches_take_little_memory():
+    """Stretches are found in small pieces of text, whatever a batch or a text holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from statmart.llm import suffix_dedup
+
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(3 << 20))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array([0, 0], pa.int32()), pa.array([long, long[: 1 << 20]])], names=["doc", "th", "text"])
+    tracemalloc.start()
+    try:
+        found = list(suffix_dedup._read(iter([batch]), 100))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # The second text repeats the first: its stretches leave the task as removed ranges, but for some at the borders.
+    assert sum(b.filter(b.column(1).is_valid()).num_rows for b in found)
+    assert peak < 150e6
