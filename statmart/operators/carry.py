@@ -60,18 +60,20 @@ class Memory:
 
 
 def _deltas(rows: DataFrame, m: Memory) -> DataFrame:
-    """One row per series and day: what the day adds. A day's kept rows are cut to ``n`` where they lie."""
+    """One row per series and day: what the day adds. A day's kept rows are cut to ``n`` where they lie.
+
+    With kept rows the series are dealt out once: numbering and summing a day, and the window over the
+    days after it, find that layout in place.
+    """
     aggs = [F.sum(c).alias(name) for name, c in m.sums().items()]
     aggs.append(F.count(F.lit(1)).alias(SEEN))
     if m.active is not None:
         aggs.append(F.max(F.when(m.active, m.stamp())).alias(ACTIVE))
-    out = rows.groupBy(*m.keys, m.day).agg(*aggs)
     if m.n:
         place = W.partitionBy(*m.keys, m.day).orderBy(*[F.col(o).desc_nulls_first() for o in m.order])
-        tail = rows.withColumn("__rn", F.row_number().over(place)).filter(F.col("__rn") <= m.n)
-        lists = tail.groupBy(*m.keys, m.day).agg(F.sort_array(F.collect_list(m.row())).alias(LAST))
-        out = join_null_safe(out, lists, [*m.keys, m.day])
-    return out
+        rows = rows.repartition(*m.keys).withColumn("__rn", F.row_number().over(place))
+        aggs.append(F.sort_array(F.collect_list(F.when(F.col("__rn") <= m.n, m.row()))).alias(LAST))
+    return rows.groupBy(*m.keys, m.day).agg(*aggs)
 
 
 def states(rows: DataFrame, m: Memory, before: DataFrame | None = None) -> DataFrame:

@@ -78,6 +78,12 @@ def test_states_pass_on_and_are_bounded(spark, games):
         carry.carried_rolling(games, memory(1), {"r": "v"}, 4, carry.states(games, memory(1)))
 
 
+def test_states_deal_a_series_out_once(games):
+    """Numbering the rows of a day, summing them and the window over the days share one exchange."""
+    plan = carry.states(games, memory())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Join" not in plan
+
+
 LOG = "game_id string, team_id string, season_id string, game_date string"
 
 
