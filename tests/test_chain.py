@@ -107,3 +107,18 @@ def test_columns_left_out_are_not_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert joins and all("__rest" in x and "pace" not in x and "turnovers" not in x for x in joins)
+
+
+def test_wide_typing_runs_in_methods_that_the_jvm_compiles(spark):
+    """A session without a limit on the size of fused methods gets one with the facts; its own is kept. Rows do not depend on it."""
+    from statmart.plans import combined as cb
+    from statmart.session import METHOD_LIMIT
+
+    session = spark.newSession()
+    session.conf.unset(METHOD_LIMIT)
+    log, tables = _player_tables(session)
+    key = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    split = key(cb.players_combined(log, tables))
+    assert session.conf.get(METHOD_LIMIT) == "8000"
+    session.conf.set(METHOD_LIMIT, "65535")
+    assert key(cb.players_combined(log, tables)) == split and session.conf.get(METHOD_LIMIT) == "65535"
