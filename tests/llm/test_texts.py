@@ -84,6 +84,20 @@ def test_licences(spark):
     assert licences.scanned(df.limit(0)).count() == 0
 
 
+def test_licence_sentences_of_any_width(spark):
+    """A known sentence counts however much stands between its words."""
+    words = licences.SENTENCES["as-is"].split()
+    rows = [
+        (1, "released" + " " * 5000 + "under the mit license", ["mit-released"]),
+        (2, "/* " + (" " + "*" * 40 + " ").join(words) + " */", ["as-is"]),
+        (3, "-" * 3000 + " All rights reserved " + "=" * 3000, ["reserved"]),
+        (4, "x" * 3000 + " all rights reserved", []), (5, "all rights", []),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, want array<string>")
+    for r in licences.scanned(df).collect():
+        assert r.sentence_ids == r.want, r.doc_id
+
+
 def test_marginals_by_enumeration():
     rng = np.random.default_rng(0)
     for n in (1, 2, 5):
