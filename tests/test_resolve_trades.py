@@ -138,6 +138,44 @@ def test_names_with_shared_words_meet_few(spark, monkeypatch):
     assert sum(pairs) < 100 * len(lefts)
 
 
+def test_names_without_a_counterpart_meet_few(spark, monkeypatch):
+    """The best score of a name that no other resembles is found without comparing it with most of them."""
+    rng = random.Random(6)
+    part = lambda n: "".join(rng.choice("abdefgilno") for _ in range(n))
+    pairs, keep = [], closest._candidates
+    monkeypatch.setattr(closest, "_candidates", lambda *a: (pairs.append(keep(*a).count()), keep(*a))[1])
+    rights = sorted({f"pla{part(7)}ck fam{part(5)}" for _ in range(2000)})
+    lefts = sorted({f"guest pla{part(7)}ck fam{part(5)}" for _ in range(100)})
+    right = spark.createDataFrame([(w, w, w) for w in rights], "r_norm string, right_id string, right_name string")
+    found = closest.closest(spark.createDataFrame([(w,) for w in lefts], "norm string"), right, 0.85)
+    got = {r.norm: r.score for r in found.select("norm", "score").collect()}
+    assert set(got) == set(lefts)
+    for w in lefts[::10]:
+        assert got[w] == pytest.approx(max(edit_of(w, x) for x in rights)), w
+    assert sum(pairs) < 20 * len(lefts)
+
+
+@pytest.mark.parametrize("strict", [0.0, 0.7])
+def test_closest_over_several_blocks(spark, monkeypatch, strict):
+    """Blocks of few letters and chunks of few names give what one gives; names of any letters and lengths."""
+    if hasattr(closest, "BLOCK"):
+        monkeypatch.setattr(closest, "BLOCK", 150)
+        monkeypatch.setattr(closest, "CHUNK", 20)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcé😀 ") for _ in range(rng.randint(0, 9)))
+    rights = sorted({word() for _ in range(120)} | {"", "abcabcabcabcabcabcabc"})
+    lefts = sorted({word() for _ in range(60)} | {"", "zz", "a" * 30})
+    left = spark.createDataFrame([(w,) for w in lefts], "norm string")
+    right = spark.createDataFrame([(w, len(rights) - i) for i, w in enumerate(rights)], "r_norm string, right_id long").withColumn("right_name", F.upper("r_norm"))
+    got = {r.norm: r for r in closest.closest(left, right, strict).collect()}
+    assert set(got) == set(lefts)
+    for w in lefts:
+        best = min((-edit_of(w, r), len(rights) - i) for i, r in enumerate(rights))
+        assert got[w].score == pytest.approx(-best[0]), w
+        if -best[0] >= strict and best[0] < 0:
+            assert got[w].right_id == best[1], w
+
+
 @pytest.mark.parametrize("threshold", [0.95, 0.85, 0.75, 0.6])
 def test_candidates_lose_no_pair(spark, threshold):
     """Every pair at or above the threshold is among the candidates, in both metrics."""
